@@ -110,7 +110,7 @@ def stored_state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages(spark, sf_dir), window_ms=DAY_MS, gap_ms=HALF_HOUR_MS
     )
     plans.write_state(state, store)
-    whole = plans.read_state(spark, store, DAY_MS, HALF_HOUR_MS)
+    whole = plans.read_state(spark, store, DAY_MS, HALF_HOUR_MS, batch_id=0)
     return plans.metric_documents(plans.metrics_of(whole), DAY_MS)
 
 
@@ -222,7 +222,9 @@ def stream_partial_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = streaming.BatchJob(f"{home}/store", window_ms=DAY_MS, gap_ms=HALF_HOUR_MS)
     lines = events_as_raw(stream_of_events(session, sf_dir))
     streaming.start_partial(lines, job, f"{home}/checkpoint", every=None).awaitTermination()
-    state = plans.read_state(spark, f"{home}/store/state", DAY_MS, HALF_HOUR_MS)
+    state = plans.compact_state(
+        spark, f"{home}/store/state", f"{home}/whole", DAY_MS, HALF_HOUR_MS
+    )
     return plans.metric_documents(plans.metrics_of(state), DAY_MS)
 
 

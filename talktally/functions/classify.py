@@ -34,14 +34,19 @@ def node_state(status: Column | str = "status") -> Column:
 def is_journey_node() -> Column:
     """A message that moved within a flow, with every part of the move known."""
     return (
-        present("intentName")
+        F.col("status").isin(s.STATUS_VALIDATED, s.STATUS_INVALIDATED)
+        & (F.col("prevConversationType") == s.FLOW_CONVERSATION)
+        & present("intentName")
         & present("stageName")
         & present("previousStageName")
-        & (F.col("prevConversationType") == s.FLOW_CONVERSATION)
-        & F.col("status").isin(s.STATUS_VALIDATED, s.STATUS_INVALIDATED)
     )
 
 
+def may_trigger() -> Column:
+    """Statuses that can trigger an intent; a cheap test a scan can apply."""
+    return F.col("status").isin(s.STATUS_GHOST, s.STATUS_START)
+
+
 def trigger_intent(ghost_col: str = "stageName") -> Column:
     """Intent a message triggered, or empty text.
 

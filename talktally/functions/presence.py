@@ -13,8 +13,11 @@ def _col(value: Column | str) -> Column:
 
 
 def present(value: Column | str) -> Column:
-    """True or false, never null, so it is safe under negation."""
-    return F.coalesce(~_col(value).isin("", MISSING_MARK), F.lit(False))
+    """True or false, never null, so it is safe under negation.
+
+    Both halves can be pushed down to a columnar scan.
+    """
+    return _col(value).isNotNull() & ~_col(value).isin("", MISSING_MARK)
 
 
 def missing_to_empty(value: Column | str) -> Column:

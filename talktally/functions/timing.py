@@ -30,6 +30,18 @@ def event_time(timestamp: Column | str) -> Column:
     return F.timestamp_millis(_col(timestamp))
 
 
+def wall_clock_ms(clock: Column | str) -> Column:
+    """TIMESTAMP_NTZ as epoch ms of the same wall clock in UTC.
+
+    Built from calendar fields: timestampdiff would go through the session time zone
+    and move clocks that its daylight saving skips.
+    """
+    c = _col(clock)
+    seconds = F.hour(c) * 3600 + F.minute(c) * 60
+    part = (F.extract(F.lit("SECOND"), c) * 1000).cast("bigint")
+    return (F.unix_date(c.cast("date")).cast("bigint") * 86400 + seconds) * 1000 + part
+
+
 def zoned_text(epoch_ms: Column | str, zone: str = "Asia/Calcutta") -> Column:
     """Epoch ms as ISO text with offset and zone, e.g. 2024-01-01T05:30+05:30[Asia/Calcutta].
 
@@ -40,8 +52,8 @@ def zoned_text(epoch_ms: Column | str, zone: str = "Asia/Calcutta") -> Column:
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     utc = epoch + F.make_dt_interval(secs=(ms / F.lit(1000)).cast("decimal(18,6)"))
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    offset = F.timestamp_diff("SECOND", utc, local)
-    size = F.abs(offset)
+    offset = wall_clock_ms(local) - wall_clock_ms(utc)
+    minutes = F.call_function("div", F.abs(offset), F.lit(60_000))
     # Formatting would go through the session time zone; a cast to text does not.
     text = local.cast("string")
     day = F.concat(F.substring(text, 1, 10), F.lit("T"))
@@ -62,8 +74,8 @@ def zoned_text(epoch_ms: Column | str, zone: str = "Asia/Calcutta") -> Column:
         F.format_string(
             "%s%02d:%02d",
             sign,
-            F.call_function("div", size, F.lit(3600)),
-            F.call_function("div", F.pmod(size, F.lit(3600)), F.lit(60)),
+            F.call_function("div", minutes, F.lit(60)),
+            F.pmod(minutes, F.lit(60)),
         )
     )
     return F.concat(clock, shift, F.lit(f"[{zone}]"))

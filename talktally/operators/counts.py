@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talktally.functions import node_state, present, response_type, trigger_intent
-from talktally.functions.classify import is_journey_node
+from talktally.functions.classify import is_journey_node, may_trigger
 from talktally.functions.timing import release_bucket, with_bucket
 from talktally.schema import (
     CHANNEL_KEYS,
@@ -65,7 +65,8 @@ def intent_triggers(
 ) -> DataFrame:
     """How often each intent was triggered; see `trigger_intent` for `ghost_col`."""
     triggered = (
-        messages.withColumn("trigger", trigger_intent(ghost_col))
+        messages.filter(may_trigger())
+        .withColumn("trigger", trigger_intent(ghost_col))
         .filter(present("trigger"))
         .withColumn("intentName", F.col("trigger"))
     )
@@ -107,7 +108,7 @@ def message_counts(
                 stageName=F.col("stageName"),
             ),
         ),
-        F.when(present(trigger), entry(INTENT_TRIGGER, intentName=trigger)),
+        F.when(may_trigger() & present(trigger), entry(INTENT_TRIGGER, intentName=trigger)),
     )
     where = [*_CHANNEL_BUCKET, *split_by]
     long_form = (

@@ -18,6 +18,7 @@ from talktally.plans.report import dry_run_counts, metric_documents, tag_of
 from talktally.plans.state import (
     MetricState,
     build_state,
+    compact_state,
     metrics_of,
     read_state,
     write_state,
@@ -29,6 +30,7 @@ __all__ = [
     "all_events",
     "all_events_documents",
     "build_state",
+    "compact_state",
     "detailed",
     "dry_run_counts",
     "engagement",

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from talktally.operators import counts, sessions, users
 from talktally.operators.users import STATES
@@ -35,6 +36,9 @@ _GROUP_STATES = {
 }
 
 
+_FOLDER_FIELDS = [StructField("batch_id", LongType()), StructField("event_date", DateType())]
+
+
 @dataclass(frozen=True)
 class MetricState:
     """State tables and the settings they were made with."""
@@ -127,26 +131,64 @@ def read_state(
     gap_ms: int | None = None,
     from_date: str | None = None,
     to_date: str | None = None,
+    batch_id: int | None = None,
+    groups: Iterable[str] = tuple(GROUPS),
+    like: MetricState | None = None,
 ) -> MetricState:
-    """All batches written under `path`, merged; dates bound the windows read."""
+    """State written under `path` for `groups`; dates bound the windows read.
+
+    All batches are merged. One batch alone, named by `batch_id`, is whole as it was
+    written and costs no shuffle. `like` gives the schemas, for a store that may not
+    hold a single row yet.
+    """
     gap = window_ms if gap_ms is None else gap_ms
+    sliced = "engagement" in check_groups(groups) and gap < window_ms
 
     def table(name: str) -> DataFrame:
-        df = spark.read.parquet(_table_path(path, name, window_ms, gap))
+        reader = spark.read
+        if like is not None:
+            known = like.tables()[name].schema.fields
+            reader = reader.schema(StructType([*known, *_FOLDER_FIELDS]))
+        df = reader.parquet(_table_path(path, name, window_ms, gap))
         if from_date is not None:
             df = df.filter(F.col("event_date") >= F.lit(from_date).cast("date"))
         if to_date is not None:
             df = df.filter(F.col("event_date") <= F.lit(to_date).cast("date"))
+        if batch_id is not None:
+            df = df.filter(F.col("batch_id") == batch_id)
         return df.drop("event_date", "batch_id")
 
-    return merge_state(
-        MetricState(
-            counts=table("counts"),
-            users=table("users"),
-            slices=table("slices") if gap < window_ms else None,
-            window_ms=window_ms,
-            gap_ms=gap,
-        )
+    state = MetricState(
+        counts=table("counts"),
+        users=table("users"),
+        slices=table("slices") if sliced else None,
+        window_ms=window_ms,
+        gap_ms=gap,
+    )
+    return merge_state(state) if batch_id is None else state
+
+
+def compact_state(
+    spark: SparkSession,
+    path: str,
+    into: str,
+    window_ms: int = DEFAULT_WINDOW_MS,
+    gap_ms: int | None = None,
+    from_date: str | None = None,
+    to_date: str | None = None,
+    groups: Iterable[str] = tuple(GROUPS),
+) -> MetricState:
+    """Merge all batches once, store the result under `into`, and return it from there.
+
+    Metrics of compacted state share that one merge instead of each doing its own.
+    """
+    chosen = check_groups(groups)
+    merged = read_state(
+        spark, path, window_ms, gap_ms, from_date, to_date, groups=chosen
+    )
+    write_state(merged, into)
+    return read_state(
+        spark, into, window_ms, gap_ms, batch_id=0, groups=chosen, like=merged
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from talktally.plans.archive import write_archive, write_raw_archive
 from talktally.plans.groups import GROUPS
 from talktally.plans.report import metric_documents
-from talktally.plans.state import build_state, metrics_of, write_state
+from talktally.plans.state import build_state, metrics_of, read_state, write_state
 from talktally.schema import DEFAULT_WINDOW_MS
 from talktally.sinks import fan_out, write_batch_parquet
 from talktally.sources.parsing import parse_events, quarantined, usable
@@ -71,9 +71,20 @@ class BatchJob:
         state = build_state(
             messages, self.groups, self.window_ms, self.gap_ms, self.ghost_col
         )
-        write_state(state, f"{self.store}/state", batch_id, gather_dates=False)
+        path = f"{self.store}/state"
+        write_state(state, path, batch_id, gather_dates=False)
         if self.document_sinks:
-            documents = metric_documents(metrics_of(state, self.groups), self.window_ms)
+            # From what was just stored, so that nothing is aggregated again.
+            stored = read_state(
+                messages.sparkSession,
+                path,
+                self.window_ms,
+                self.gap_ms,
+                batch_id=batch_id,
+                groups=self.groups,
+                like=state,
+            )
+            documents = metric_documents(metrics_of(stored, self.groups), self.window_ms)
             fan_out(
                 documents,
                 [lambda d, sink=sink: sink(d, batch_id) for sink in self.document_sinks],
