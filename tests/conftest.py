@@ -15,11 +15,12 @@ SF_DIR = os.environ.get("TALKTALLY_TEST_DATA", "/root/testdata/sf0.001")
 def make_session() -> SparkSession:
     # A zone with daylight saving, so that any dependence on the session zone shows.
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("talktally-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="talktally-tests-"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from talktally.functions import event_time
+from talktally.plans import metric_documents
 
 T0 = 1_704_067_200_000
 W = 300_000
@@ -71,3 +72,10 @@ def line(at: int = 0, **changes) -> str:
 
 def rows(df) -> list[tuple]:
     return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def assert_same_metrics(tables: dict, expected: dict, window_ms: int = W) -> None:
+    """Both sets of metrics give the same documents; one query for each set."""
+    assert tables.keys() == expected.keys()
+    got, want = (rows(metric_documents(t, window_ms)) for t in (tables, expected))
+    assert got == want

@@ -12,7 +12,7 @@ from talktally import operators as op
 from talktally.plans import build_state, metric_groups, metrics_of
 from talktally.plans.state import merge_state
 from tests.conftest import SF_DIR
-from tests.helpers import SCHEMA, T0, W, message, messages, rows
+from tests.helpers import SCHEMA, T0, W, assert_same_metrics, message, messages, rows
 
 MARK = T0 + W
 DAY = 86_400_000
@@ -213,8 +213,7 @@ def test_a_hot_user_merges_from_any_split(spark):
         state = merge_state(
             build_state(split, window_ms=DAY, gap_ms=gap, split_by=("piece",))
         )
-        for name, table in metrics_of(state).items():
-            assert rows(table) == rows(direct[name]), name
+        assert_same_metrics(metrics_of(state), direct, DAY)
 
 
 def test_schema_of_helpers_matches_the_canonical_columns(spark):
