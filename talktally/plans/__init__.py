@@ -3,6 +3,7 @@
 from talktally.plans.archive import (
     all_events,
     all_events_documents,
+    event_sourcing,
     raw_archive,
     write_archive,
     write_raw_archive,
@@ -34,6 +35,7 @@ __all__ = [
     "detailed",
     "dry_run_counts",
     "engagement",
+    "event_sourcing",
     "metric_documents",
     "metric_groups",
     "metrics_of",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talktally.functions import document
 from talktally.plans.state import window_date
-from talktally.schema import ALL_EVENTS, CHANNEL_KEYS
+from talktally.schema import ALL_EVENTS, CHANNEL_KEYS, RAW_EVENTS
 from talktally.sources.parsing import non_empty
 
 
@@ -40,6 +40,14 @@ def all_events_documents(messages: DataFrame) -> DataFrame:
     )
 
 
+def event_sourcing(raw: DataFrame, messages: DataFrame) -> dict[str, DataFrame]:
+    """Both archive feeds as (collection, value), by tag."""
+    return {
+        RAW_EVENTS: raw_archive(raw).select(F.lit(RAW_EVENTS).alias("collection"), "value"),
+        ALL_EVENTS: all_events_documents(messages),
+    }
+
+
 def write_raw_archive(raw: DataFrame, path: str, batch_time_ms: int, batch_id: int) -> None:
     """Raw lines as text, in one directory for each batch time.
 

@@ -1,5 +1,6 @@
 """Where documents and tables go: Kafka, a document store, files."""
 
+from talktally.sinks.dry_run import log_counts
 from talktally.sinks.fanout import fan_out
 from talktally.sinks.files import write_batch_parquet, write_batch_text
 from talktally.sinks.kafka import kafka_records, keyed_kafka_records, write_kafka
@@ -9,6 +10,7 @@ __all__ = [
     "fan_out",
     "kafka_records",
     "keyed_kafka_records",
+    "log_counts",
     "write_batch_parquet",
     "write_batch_text",
     "write_kafka",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from talktally.plans.archive import write_archive, write_raw_archive
+from talktally.plans.archive import event_sourcing, write_archive, write_raw_archive
 from talktally.plans.groups import GROUPS
 from talktally.plans.report import metric_documents
 from talktally.plans.state import build_state, metrics_of, read_state, write_state
@@ -25,6 +25,9 @@ from talktally.sources.parsing import parse_events, quarantined, usable
 from talktally.streaming.lag import batch_lag
 
 
+Sink = Callable[[DataFrame, int], None]
+
+
 @dataclass(frozen=True)
 class BatchJob:
     """What to do with each micro-batch of raw lines (value, seq).
@@ -32,7 +35,8 @@ class BatchJob:
     `store` is a folder that all executors see. Under it go `state`, `lag` and, where
     asked for, `quarantine`, `archive` and `raw`. `document_sinks` receive the
     batch's own metric documents (collection, value), which are not upserted: use
-    the state for totals.
+    the state for totals. `archive_sinks` receive every raw line and every message
+    the same way.
     """
 
     store: str
@@ -44,7 +48,8 @@ class BatchJob:
     keep_archive: bool = False
     keep_raw: bool = False
     parse_options: dict = field(default_factory=dict)
-    document_sinks: tuple[Callable[[DataFrame, int], None], ...] = ()
+    document_sinks: tuple[Sink, ...] = ()
+    archive_sinks: tuple[Sink, ...] = ()
     clock: Callable[[], float] = time.time
 
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
@@ -61,6 +66,8 @@ class BatchJob:
             write_batch_parquet(lag, f"{self.store}/lag", batch_id)
             if self.keep_archive:
                 write_archive(messages, f"{self.store}/archive", batch_id)
+            for documents in event_sourcing(raw, messages).values():
+                self._send(documents, self.archive_sinks, batch_id)
             self._write_metrics(messages, batch_id)
         finally:
             events.unpersist()
@@ -85,10 +92,11 @@ class BatchJob:
                 like=state,
             )
             documents = metric_documents(metrics_of(stored, self.groups), self.window_ms)
-            fan_out(
-                documents,
-                [lambda d, sink=sink: sink(d, batch_id) for sink in self.document_sinks],
-            )
+            self._send(documents, self.document_sinks, batch_id)
+
+    @staticmethod
+    def _send(documents: DataFrame, targets: tuple[Sink, ...], batch_id: int) -> None:
+        fan_out(documents, [lambda d, send=send: send(d, batch_id) for send in targets])
 
 
 def start_partial(

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from talktally import operators as op
 from talktally.plans import metric_groups, metrics_of, read_state
 from talktally.session import scratch_folder
-from talktally.sinks import write_batch_text
+from talktally.__main__ import main
+from talktally.sinks import log_counts, write_batch_text
 from talktally.sources import read_lines, stream_lines, to_messages, usable, parse_events
 from talktally.streaming import (
     BatchJob,
@@ -125,6 +126,34 @@ def test_a_batch_that_failed_half_way_is_replaced(spark, tmp_path):
     assert sum(json.loads(r["value"])["count"] for r in counts) == 160
 
 
+def test_archive_sinks_get_raw_lines_and_messages(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    write_files(folder, ["broken", line(), line(requestAssistance=True)], 1)
+    sent = {}
+
+    def keep(documents, batch_id):
+        for row in documents.collect():
+            sent.setdefault(row["collection"], []).append(row["value"])
+
+    job = BatchJob(str(tmp_path / "s"), groups=(), archive_sinks=(keep, log_counts))
+    run(start_partial(stream_lines(spark, folder), job, str(tmp_path / "cp"), every=None))
+    assert len(sent["eventSourcedData"]) == 3 and "broken" in sent["eventSourcedData"]
+    assert [json.loads(v)["intentName"] for v in sent["allEvents"]] == ["i1"]
+
+
+def test_the_whole_job_from_the_command_line(spark, tmp_path):
+    folder, store, cp = (str(tmp_path / n) for n in ("in", "store", "cp"))
+    write_files(folder, make_lines(30), 1)
+    given = ["--lines", folder, "--store", store, "--checkpoint", cp, "--once", "--dry-run"]
+    main([*given, "--groups", "performance", "--keep-archive"])
+    state = read_state(spark, f"{store}/state", groups=["performance"])
+    whole = to_messages(read_lines(spark, folder))
+    expected = metric_groups(whole, ["performance"])
+    assert_same_metrics(metrics_of(state, ["performance"]), expected)
+    with pytest.raises(SystemExit):
+        main(["--topics", "t", "--store", store, "--checkpoint", cp])
+
+
 def test_a_batch_without_messages_is_no_trouble(spark, tmp_path):
     folder, store = str(tmp_path / "in"), str(tmp_path / "store")
     write_files(folder, ["broken", line(projectId="")], 1)
@@ -198,7 +227,7 @@ def test_listener_logs_each_batch(spark, tmp_path, caplog):
             job = BatchJob(str(tmp_path / "s"), groups=())
             run(start_partial(raw, job, str(tmp_path / "cp"), every=None))
             deadline = time.time() + 20
-            while "ended" not in caplog.text and time.time() < deadline:
+            while "batch 1:" not in caplog.text and time.time() < deadline:
                 time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
