@@ -50,7 +50,11 @@ def zoned_text(epoch_ms: Column | str, zone: str = "Asia/Calcutta") -> Column:
     """
     ms = _col(epoch_ms)
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    utc = epoch + F.make_dt_interval(secs=(ms / F.lit(1000)).cast("decimal(18,6)"))
+    day_ms = F.lit(86_400_000)
+    utc = epoch + F.make_dt_interval(
+        days=F.floor(ms / day_ms).cast("int"),
+        secs=(F.pmod(ms, day_ms) / F.lit(1000)).cast("decimal(18,6)"),
+    )
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
     offset = wall_clock_ms(local) - wall_clock_ms(utc)
     minutes = F.call_function("div", F.abs(offset), F.lit(60_000))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
@@ -36,6 +36,8 @@ _GROUP_STATES = {
 }
 
 
+# 0001-01-01 and 9999-12-31 as days since 1970.
+FIRST_DAY, LAST_DAY = -719_162, 2_932_896
 _FOLDER_FIELDS = [StructField("batch_id", LongType()), StructField("event_date", DateType())]
 
 
@@ -224,10 +226,11 @@ def metrics_of(
     return tables
 
 
-def window_date(mark: str, window_ms: int):
-    """UTC date on which the window starts, whatever the session time zone."""
-    start = F.col(mark) - window_ms
-    return F.date_add(
-        F.lit("1970-01-01").cast("date"),
-        F.floor(start / F.lit(86_400_000)).cast("int"),
-    )
+def window_date(mark: str, window_ms: int) -> Column:
+    """UTC date on which the window starts, whatever the session time zone.
+
+    Folder names hold years 1 to 9999; anything beyond goes to the last or first date.
+    """
+    days = F.floor((F.col(mark) - window_ms) / F.lit(86_400_000))
+    named = F.greatest(F.least(days, F.lit(LAST_DAY)), F.lit(FIRST_DAY))
+    return F.date_add(F.lit("1970-01-01").cast("date"), named.cast("int"))

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from talktally.functions import event_time, present, to_long
 from talktally.schema import COLUMN_OF_JSON_PATH, EVENT_FIELDS, EVENT_TYPE
 
+# Largest epoch ms, rounded, whose microseconds still fit a TIMESTAMP.
+MAX_TIMESTAMP_MS = 9_000_000_000_000_000
+
 MESSAGE_COLUMNS = [
     "projectId",
     "channel",
@@ -60,9 +63,17 @@ def parse_events(
             F.when(~F.col("malformed"), F.coalesce(f, F.lit(missing_default))).alias(name)
             for f, name in zip(fields, COLUMN_OF_JSON_PATH.values(), strict=True)
         ]
+    # The text itself is wanted only in quarantine, so good rows do not carry it.
+    faulty = F.col("malformed") | readable_timestamp().isNull()
     return rows.select(
         *fields, F.struct("seq", "position").alias("seq"), "malformed", "value"
-    )
+    ).withColumn("value", F.when(faulty, F.col("value")))
+
+
+def readable_timestamp() -> Column:
+    """The timestamp as BIGINT; null if it is no number or too large for a TIMESTAMP."""
+    number = to_long("timestamp")
+    return F.when(number.between(-MAX_TIMESTAMP_MS, MAX_TIMESTAMP_MS), number)
 
 
 def bot_messages(events: DataFrame) -> DataFrame:
@@ -72,7 +83,7 @@ def bot_messages(events: DataFrame) -> DataFrame:
 
 def usable(events: DataFrame) -> DataFrame:
     """Bot messages with a readable timestamp, in the canonical columns."""
-    timed = bot_messages(events).withColumn("timestamp", to_long("timestamp"))
+    timed = bot_messages(events).withColumn("timestamp", readable_timestamp())
     return (
         timed.filter(F.col("timestamp").isNotNull())
         .withColumn("eventTime", event_time("timestamp"))
@@ -82,7 +93,7 @@ def usable(events: DataFrame) -> DataFrame:
 
 def quarantined(events: DataFrame) -> DataFrame:
     """Lines that cannot be counted, with the reason and the original text."""
-    untimed = _is_bot_message() & to_long("timestamp").isNull()
+    untimed = _is_bot_message() & readable_timestamp().isNull()
     return events.filter(F.col("malformed") | untimed).select(
         F.when(F.col("malformed"), F.lit("malformed"))
         .otherwise(F.lit("bad_timestamp"))

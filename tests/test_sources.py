@@ -17,7 +17,7 @@ from talktally.sources import (
     usable,
 )
 from talktally.sources import kafka
-from tests.helpers import T0, event, line
+from tests.helpers import T0, event, line, rows
 
 
 def raw(spark, *values):
@@ -74,6 +74,19 @@ def test_bad_lines_are_quarantined_not_fatal(spark):
     assert got == dict(zip(bad, ["malformed"] * 2 + ["bad_timestamp"] * 2, strict=True))
 
 
+def test_timestamps_too_large_for_a_timestamp_are_quarantined(spark):
+    largest = 9_000_000_000_000_000
+    lines = [line(timestamp=t) for t in (2**63 - 1, -(2**63), 2**63, largest, -largest)]
+    events = parse_events(raw(spark, *lines))
+    assert rows(usable(events).select("timestamp")) == [(-largest,), (largest,)]
+    assert sorted(r["value"] for r in quarantined(events).collect()) == sorted(lines[:3])
+
+
+def test_good_rows_do_not_carry_their_text(spark):
+    got = parse_events(raw(spark, line(), "broken")).select("malformed", "value").collect()
+    assert sorted(map(tuple, got)) == [(False, None), (True, "broken")]
+
+
 def test_timestamp_as_text_or_number(spark):
     got = to_messages(raw(spark, line(timestamp=str(T0)), line(timestamp=T0)))
     assert [r["timestamp"] for r in got.collect()] == [T0, T0]

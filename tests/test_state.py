@@ -104,6 +104,15 @@ def test_unknown_group_is_refused(spark):
         build_state(sample(spark), ["other"])
 
 
+def test_far_timestamps_are_stored_and_read_back(spark, tmp_path):
+    far = 9_000_000_000_000_000 - T0
+    m, path = messages(spark, message(far), message(-far - 2 * T0), message(0)), str(tmp_path)
+    write_state(build_state(m, gap_ms=GAP), path)
+    state = read_state(spark, path, gap_ms=GAP)
+    assert_same_metrics(metrics_of(state), metric_groups(m, gap_ms=GAP))
+    assert read_state(spark, path, gap_ms=GAP, to_date="2024-06-01").users.count() == 2
+
+
 def test_window_date_is_the_utc_date_of_the_start(spark):
     df = spark.createDataFrame([(T0,), (T0 + W,), (T0 + DAY,), (W - 1,)], "mark bigint")
     got = [r[0] for r in df.select(window_date("mark", W)).collect()]
