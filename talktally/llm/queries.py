@@ -5,13 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from talktally.llm.frames import read_table
+from talktally.llm.packing import packed, pieces
 from talktally.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def packed_documents(documents: DataFrame) -> DataFrame:
+    """Where each piece of each document goes, with a checksum in place of its ids."""
+    cut = pieces(documents).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packed(cut)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -20,6 +32,7 @@ def all_queries() -> dict[str, Query]:
     return {
         query.__name__: query
         for query in (
+            op8_best_fit_packing,
             op9_token_counts,
         )
     }
