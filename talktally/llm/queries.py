@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talktally.llm import quality, toxicity
 from talktally.llm.frames import read_table
 from talktally.llm.packing import packed, pieces
 from talktally.llm.token_counts import token_counts
@@ -14,6 +15,16 @@ from talktally.llm.token_counts import token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality.classified(*tables)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxicity.classified(*tables)
+
+
 def packed_documents(documents: DataFrame) -> DataFrame:
     """Where each piece of each document goes, with a checksum in place of its ids."""
     cut = pieces(documents).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -32,6 +43,8 @@ def all_queries() -> dict[str, Query]:
     return {
         query.__name__: query
         for query in (
+            op5_quality_classifier,
+            op6_toxicity,
             op8_best_fit_packing,
             op9_token_counts,
         )
