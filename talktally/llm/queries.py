@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from talktally.llm import quality, toxicity
 from talktally.llm.frames import read_table
+from talktally.llm.jaccard_join import near_duplicates
 from talktally.llm.packing import packed, pieces
 from talktally.llm.token_counts import token_counts
 
@@ -39,6 +40,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -47,5 +52,6 @@ def all_queries() -> dict[str, Query]:
             op6_toxicity,
             op8_best_fit_packing,
             op9_token_counts,
+            op10_jaccard_join,
         )
     }

@@ -2,6 +2,44 @@
 
 from __future__ import annotations
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Components of a relation links(a, b) over a relation nodes(id): the smallest id reachable.
+_REACH = """
+both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, other) AS (
+    SELECT id, id FROM nodes
+    UNION
+    SELECT reach.id, both.b FROM reach JOIN both ON reach.other = both.a
+),
+comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
+
+JACCARD_JOIN = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id,
+        regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+    END AS s
+    FROM words
+),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c
+    FROM one AS x JOIN one AS y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+    GROUP BY ALL
+),
+links AS (SELECT a, b FROM shared WHERE 100 * c >= 75 * (na + nb - c)),
+nodes AS (SELECT doc_id AS id FROM documents),{_REACH}
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
+FROM sets JOIN comp ON doc_id = id
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op10_jaccard_join": JACCARD_JOIN}
