@@ -6,11 +6,11 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 
 # Components of a relation links(a, b) over a relation nodes(id): the smallest id reachable.
 _REACH = """
-both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(id, other) AS (
     SELECT id, id FROM nodes
     UNION
-    SELECT reach.id, both.b FROM reach JOIN both ON reach.other = both.a
+    SELECT reach.id, edges.b FROM reach JOIN edges ON reach.other = edges.a
 ),
 comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
 
