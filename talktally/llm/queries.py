@@ -10,12 +10,25 @@ from pyspark.sql import functions as F
 from talktally.llm import quality, toxicity
 from talktally.llm.frames import read_table
 from talktally.llm.jaccard_join import near_duplicates
+from talktally.llm.licences import licence_scan
 from talktally.llm.packing import packed, pieces
 from talktally.llm.token_counts import token_counts
+from talktally.llm.warc import archived
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = archived(read_table(spark, sf_dir, "pages"))
+    return captures.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "position"
+    )
+
+
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     return quality.classified(*tables)
@@ -48,6 +61,8 @@ def all_queries() -> dict[str, Query]:
     return {
         query.__name__: query
         for query in (
+            op2_warc_index_merge,
+            op4_licence_scan,
             op5_quality_classifier,
             op6_toxicity,
             op8_best_fit_packing,

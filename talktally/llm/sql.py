@@ -40,6 +40,27 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
 FROM sets JOIN comp ON doc_id = id
 """
 
+WARC_INDEX = r"""
+WITH payloads AS (
+    SELECT page_id, url, coalesce(html, '') AS payload,
+        strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS digest
+    FROM pages
+),
+last AS (SELECT digest, max(page_id) AS last FROM payloads WHERE size >= 1000 GROUP BY digest),
+keyed AS (
+    SELECT page_id, size, digest, last,
+        coalesce(array_to_string(list_reverse(string_split(lower(
+            regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)', 1)), '.')), ',') || ')' ||
+            regexp_replace(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*|#.*$', '', 'g'), '') AS url_key
+    FROM payloads LEFT JOIN last USING (digest)
+)
+SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+    CASE WHEN size < 1000 OR page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN size >= 1000 AND page_id <> last THEN last END AS refers_to,
+    row_number() OVER (ORDER BY url_key, page_id) - 1 AS position
+FROM keyed
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op10_jaccard_join": JACCARD_JOIN}
+    return {"op2_warc_index_merge": WARC_INDEX, "op10_jaccard_join": JACCARD_JOIN}
