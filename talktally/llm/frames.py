@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_modules(spark: SparkSession) -> None:
+    """Give the executors this package, once for each Spark application."""
+    context = spark.sparkContext
+    if getattr(context, "_talktally_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    above = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="talktally-"), "talktally_modules.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    out.write(file, os.path.relpath(file, above))
+    context.addPyFile(archive)
+    context._talktally_shipped = True
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column, and the n + 1 places where its rows begin and end."""
     column = column.cast(pa.large_string()).fill_null("")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talktally.llm import quality, toxicity
-from talktally.llm.frames import read_table
+from talktally.llm.fingerprints import document_fingerprints
+from talktally.llm.frames import read_table, ship_modules
 from talktally.llm.jaccard_join import near_duplicates
 from talktally.llm.licences import licence_scan
 from talktally.llm.packing import packed, pieces
@@ -18,6 +20,21 @@ from talktally.llm.warc import archived
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _shipped(query: Query) -> Query:
+    """The query, with this package on the executors as well."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_modules(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op2_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = archived(read_table(spark, sf_dir, "pages"))
     return captures.select(
@@ -59,8 +76,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
-        query.__name__: query
+        query.__name__: _shipped(query)
         for query in (
+            op1_document_fingerprints,
             op2_warc_index_merge,
             op4_licence_scan,
             op5_quality_classifier,
