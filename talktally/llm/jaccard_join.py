@@ -27,6 +27,7 @@ gives no rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from itertools import count
@@ -207,6 +208,11 @@ def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
     The blocks of a cell hold a bounded number of shingles; two are left out if their
     sizes are too far apart, or if all their members are of one component.
     """
+    # Of cells with the same members one is enough.
+    same = members.groupBy("cell").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("name").cast("decimal(38,0)")).alias("sum")
+    )
+    members = members.join(same.dropDuplicates(["n", "sum"]).select("cell"), "cell")
     by_size = Window.partitionBy("cell").orderBy("size", "name")
     before = F.sum("size").over(by_size.rowsBetween(Window.unboundedPreceding, -1))
     block = F.floor(F.coalesce(before, F.lit(0)) / BLOCK_SHINGLES).alias("block")
@@ -237,8 +243,13 @@ def _joined_blocks(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     def run(table: pa.Table) -> pa.Table:
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["atoms"].combine_chunks()]
-        names, group = table["name"].to_pylist(), table["component"].to_pylist()
-        order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), names[i]))
+        names, group = table["name"].to_numpy(), table["component"].to_pylist()
+        size = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), size)
+        _, which = np.unique(np.concatenate(sets), return_inverse=True)
+        holders = owner[np.argsort(which, kind="stable")]
+        held = np.bincount(which)
+        begins, ends = np.cumsum(held) - held, np.cumsum(size)
         root = {c: c for c in group}
 
         def top(c: int) -> int:
@@ -246,22 +257,20 @@ def _joined_blocks(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                 root[c] = c = root[root[c]]
             return c
 
-        holders: dict[int, list[int]] = {}
         a, b = [], []
-        for i in order:
-            shared: dict[int, int] = {}
-            for atom in sets[i].tolist():
-                held = holders.setdefault(atom, [])
-                for j in held:
-                    shared[j] = shared.get(j, 0) + 1
-                held.append(i)
-            for j, count in shared.items():
+        # The members of the commonest component need no comparing with each other.
+        common = Counter(sorted(group)).most_common(1)[0][0]
+        for i in sorted((i for i in range(len(sets)) if group[i] != common), key=lambda i: names[i]):
+            own = which[ends[i] - size[i] : ends[i]]
+            at = np.repeat(begins[own] - np.cumsum(held[own]) + held[own], held[own])
+            shared = np.bincount(holders[at + np.arange(len(at))], minlength=len(sets))
+            near = shared * 100 >= (size[i] + size - shared) * percent
+            for j in np.flatnonzero(near).tolist():
                 one, two = top(group[i]), top(group[j])
-                united = len(sets[i]) + len(sets[j]) - count
-                if one != two and count * 100 >= united * percent:
+                if one != two:
                     root[max(one, two)] = min(one, two)
-                    a.append(min(names[i], names[j]))
-                    b.append(max(names[i], names[j]))
+                    a.append(names[i])
+                    b.append(names[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     both = pairs.dropDuplicates(["pair", "name"]).join(sets, "name")
