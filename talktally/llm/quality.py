@@ -217,6 +217,21 @@ def quality_scores(
     return id_and_text(documents).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def accepted(
+    documents: DataFrame, model: QualityModel, threshold: float = THRESHOLD, text_col: str = "text"
+) -> DataFrame:
+    """The rows whose text is not rejected, with all their columns."""
+    raw = documents.sparkSession.sparkContext.broadcast(model.to_bytes())
+    at = documents.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = QualityModel.from_bytes(raw.value)
+        for batch in batches:
+            yield batch.filter(pa.array(known.scores(batch.column(at)) >= threshold))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def classified(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document's fold, score and prediction, learnt from the labels outside the fold."""
     scores = quality_scores(documents, fit_quality(documents, labels))

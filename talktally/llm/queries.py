@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talktally.llm import quality, toxicity
+from talktally.llm.embedding_dedup import linked_embeddings
 from talktally.llm.fingerprints import document_fingerprints
 from talktally.llm.frames import read_table, ship_modules
 from talktally.llm.jaccard_join import near_duplicates
 from talktally.llm.licences import licence_scan
 from talktally.llm.packing import packed, pieces
+from talktally.llm.pieces import round_trips
 from talktally.llm.token_counts import token_counts
 from talktally.llm.warc import archived
 
@@ -42,6 +44,10 @@ def op2_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trips(read_table(spark, sf_dir, "documents"))
+
+
 def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(read_table(spark, sf_dir, "documents"))
 
@@ -56,6 +62,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classified(*tables)
 
 
+def op7_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
 def packed_documents(documents: DataFrame) -> DataFrame:
     """Where each piece of each document goes, with a checksum in place of its ids."""
     cut = pieces(documents).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -80,9 +90,11 @@ def all_queries() -> dict[str, Query]:
         for query in (
             op1_document_fingerprints,
             op2_warc_index_merge,
+            op3_unigram_pieces,
             op4_licence_scan,
             op5_quality_classifier,
             op6_toxicity,
+            op7_lattice_dedup,
             op8_best_fit_packing,
             op9_token_counts,
             op10_jaccard_join,

@@ -61,6 +61,28 @@ SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM keyed
 """
 
+LATTICE_DEDUP = f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),
+good AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> isfinite(x))) = len(embedding)
+        AND len(list_filter(embedding, x -> x <> 0)) > 0
+),
+links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b
+    FROM good AS x JOIN good AS y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+    WHERE list_dot_product(x.v, y.v)
+        / sqrt(list_dot_product(x.v, x.v) * list_dot_product(y.v, y.v)) >= 0.95
+),{_REACH}
+SELECT id AS vec_id, component_id, id = component_id AS kept,
+    (SELECT count(*) FROM edges WHERE edges.a = comp.id) AS n_links
+FROM comp
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op2_warc_index_merge": WARC_INDEX, "op10_jaccard_join": JACCARD_JOIN}
+    return {
+        "op2_warc_index_merge": WARC_INDEX,
+        "op7_lattice_dedup": LATTICE_DEDUP,
+        "op10_jaccard_join": JACCARD_JOIN,
+    }

@@ -232,6 +232,28 @@ def fit_toxicity(
     return model
 
 
+def scores_of(
+    model: ToxicityModel, automaton: ahocorasick.Automaton, texts: pa.Array
+) -> tuple[np.ndarray, list[int]]:
+    found = [strength(automaton, t.as_py() or "") for t in texts]
+    strengths = np.array([s for s, _ in found], np.float64)
+    return logistic(model.slope * strengths + model.shift), [n for _, n in found]
+
+
+def accepted(
+    documents: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text"
+) -> DataFrame:
+    """The rows whose text is not rejected, with all their columns."""
+    at = documents.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = model.automaton()
+        for batch in batches:
+            yield batch.filter(pa.array(scores_of(model, automaton, batch.column(at))[0] < threshold))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def toxicity_scores(
     documents: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -240,13 +262,11 @@ def toxicity_scores(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.automaton()
         for batch in batches:
-            found = [strength(automaton, t.as_py()) for t in batch.column(1)]
-            strengths = np.array([s for s, _ in found], np.float64)
-            scores = logistic(model.slope * strengths + model.shift)
+            scores, found = scores_of(model, automaton, batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([n for _, n in found], pa.int64()),
+                    pa.array(found, pa.int64()),
                     pa.array(scores),
                     pa.array((scores >= threshold).astype(np.int32)),
                 ],

@@ -64,7 +64,7 @@ class UnitEncoder:
     """Encodes texts by units.
 
     encode takes a list of texts and gives the ids of each; whole takes one text, which
-    has a special string.
+    has a special string. starts says where texts may be cut.
     """
 
     def __init__(
@@ -72,8 +72,10 @@ class UnitEncoder:
         encode: Callable[[list[str]], list[list[int]]],
         whole: Callable[[str], list[int]],
         special: tuple[bytes, ...],
+        starts: Callable[[np.ndarray, np.ndarray], np.ndarray] = unit_starts,
     ):
         self._encode, self._whole, self._special = encode, whole, special
+        self._starts = starts
         self._known: dict[bytes, bytes] = {}
 
     def _ids(self, units: list[bytes]) -> list[bytes]:
@@ -90,7 +92,7 @@ class UnitEncoder:
 
     def _plain(self, data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts without special strings, and how many there are before each text's end."""
-        starts = unit_starts(data, breaks[:-1][np.diff(breaks) > 0])
+        starts = self._starts(data, breaks[:-1][np.diff(breaks) > 0])
         stops = np.append(starts[1:], len(data))
         length = stops - starts
         raw = data.tobytes()
@@ -138,7 +140,7 @@ class UnitEncoder:
             if any(s in part.tobytes() for s in self._special):
                 yield self._with_special(part, breaks, first, last)
             elif len(part) > BLOCK:
-                cuts = unit_starts(part, np.zeros(1, np.int64))
+                cuts = self._starts(part, np.zeros(1, np.int64))
                 cuts = np.unique(cuts[np.searchsorted(cuts, np.arange(0, len(part), BLOCK))[:-1].clip(0, len(cuts) - 1)])
                 cuts = [0, *(int(c) for c in cuts if c > 0), len(part)]
                 ids = [
