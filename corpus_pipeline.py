@@ -1,16 +1,68 @@
-"""The corpus pipeline: stages that each hand documents to the next one."""
+"""The corpus pipeline: stages that each hand documents to the next one.
+
+Quality and toxicity drop the documents that their classifiers reject, the join keeps the
+smallest id of each group of near duplicates, and packing lays the rest out in sequences.
+Each stage works on all documents that the one before it kept; null texts count as empty
+and pass as the classifiers decide. The join keeps rows without an id, and one row of
+those that share an id. Empty tables pass through. The stages keep the columns of documents; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from talktally.llm.frames import read_table, stored
+from talktally.llm import quality, toxicity
+from talktally.llm.frames import read_table, ship_modules, stored
+from talktally.llm.jaccard_join import near_duplicates
+from talktally.llm.queries import packed_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of acceptable quality."""
+    ship_modules(spark)
+    tables = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = quality.fit_quality(*tables)
+    return quality.accepted(docs, model)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    ship_modules(spark)
+    tables = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = toxicity.fit_toxicity(*tables)
+    return toxicity.accepted(docs, model)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id."""
+    ship_modules(spark)
+    found = near_duplicates(docs)
+    first = F.col("doc_id") == F.col("component_id")
+    kept = found.where(first & (F.col("n_shingles") > 0)).select("doc_id").distinct()
+    alone = found.where((F.col("n_shingles") == 0) | F.col("doc_id").isNull())
+    # Repeated rows of one id are one document; the join has put them side by side.
+    ids = kept.union(alone.select("doc_id").where("doc_id is not null")).distinct()
+    named = docs.join(ids, "doc_id").dropDuplicates(["doc_id"]).select(docs.columns)
+    return named.union(docs.where("doc_id is null"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes, in as few sequences as found."""
+    ship_modules(spark)
+    return packed_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("packing", packing_stage),
+]
 
 ORACLE_SQL: str | None = None
 
