@@ -12,7 +12,7 @@ from talktally import functions as fn
 from talktally import operators as op
 from talktally import plans, sinks, streaming
 from talktally.plans.state import MetricState, merge_state
-from talktally.schema import DEFAULT_WINDOW_MS
+from talktally.schema import COLUMN_OF_JSON_PATH, DEFAULT_WINDOW_MS
 from talktally.session import SESSION_OPTIONS, scratch_folder
 from talktally.sources import (
     events_as_messages,
@@ -103,15 +103,21 @@ def user_windows_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write daily state as a table in the shared folder, read it, report all metrics."""
+def _stored_metrics(
+    spark: SparkSession, sf_dir: str, window_ms: int, gap_ms: int, **groups
+) -> dict[str, DataFrame]:
+    """Metrics from state that is written to the shared folder once."""
     store = scratch_folder(spark, "state")
-    state = plans.build_state(
-        messages(spark, sf_dir), window_ms=DAY_MS, gap_ms=HALF_HOUR_MS
-    )
+    state = plans.build_state(messages(spark, sf_dir), window_ms=window_ms, gap_ms=gap_ms, **groups)
     plans.write_state(state, store)
-    whole = plans.read_state(spark, store, DAY_MS, HALF_HOUR_MS, batch_id=0)
-    return plans.metric_documents(plans.metrics_of(whole), DAY_MS)
+    whole = plans.read_state(spark, store, window_ms, gap_ms, batch_id=0, like=state, **groups)
+    return plans.metrics_of(whole, **groups)
+
+
+def stored_state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write daily state as a table in the shared folder, read it, report all metrics."""
+    tables = _stored_metrics(spark, sf_dir, DAY_MS, HALF_HOUR_MS)
+    return plans.metric_documents(tables, DAY_MS)
 
 
 # Ingest and archives
@@ -127,15 +133,12 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_any_key_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shouted = raw(spark, sf_dir).withColumn(
-        "value",
-        F.replace(
-            F.replace("value", F.lit('"projectId"'), F.lit('"PROJECTID"')),
-            F.lit('"final"'),
-            F.lit('"Final"'),
-        ),
-    )
-    parsed = usable(parse_events(shouted, any_key_case=True))
+    """Every key in another case, in capitals on every second line."""
+    value, capitals = F.col("value"), F.col("seq") % 2 == 0
+    for key in sorted({k for path in COLUMN_OF_JSON_PATH for k in path.split(".")}):
+        other = F.when(capitals, f'"{key.upper()}":').otherwise(f'"{key.swapcase()}":')
+        value = F.replace(value, F.lit(f'"{key}":'), other)
+    parsed = usable(parse_events(raw(spark, sf_dir).withColumn("value", value), any_key_case=True))
     return parsed.drop("eventTime").withColumn("seq", F.col("seq.seq"))
 
 
@@ -175,13 +178,14 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _performance_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = plans.performance(messages(spark, sf_dir))
-    return plans.metric_documents(tables, DEFAULT_WINDOW_MS)
+    window = DEFAULT_WINDOW_MS
+    tables = _stored_metrics(spark, sf_dir, window, window, groups=("performance",))
+    return plans.metric_documents(tables, window)
 
 
 def metric_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eleven metrics as JSON documents with their collections."""
-    tables = plans.metric_groups(messages(spark, sf_dir))
+    tables = _stored_metrics(spark, sf_dir, DEFAULT_WINDOW_MS, DEFAULT_WINDOW_MS)
     return plans.metric_documents(tables, DEFAULT_WINDOW_MS)
 
 
@@ -190,14 +194,15 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which task a row is in is Spark's choice, so only the range is reported."""
-    documents = plans.all_events_documents(messages(spark, sf_dir))
-    records = sinks.keyed_kafka_records(documents, topic_partitions=4, strip=True)
-    return records.withColumn("partition", F.col("partition").between(0, 3))
+    """Messages in twelve known tasks, by their number, sent to a topic of four partitions."""
+    numbered = messages(spark, sf_dir).withColumn("task", F.pmod("seq", F.lit(12)).cast("int"))
+    dealt = numbered.repartitionById(12, "task")
+    documents = plans.all_events_documents(dealt)
+    return sinks.keyed_kafka_records(documents, topic_partitions=4, strip=True)
 
 
 def dry_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = plans.metric_groups(messages(spark, sf_dir))
+    tables = _stored_metrics(spark, sf_dir, DEFAULT_WINDOW_MS, DEFAULT_WINDOW_MS)
     return plans.dry_run_counts(tables, DEFAULT_WINDOW_MS)
 
 
@@ -228,19 +233,39 @@ def stream_partial_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.metric_documents(plans.metrics_of(state), DAY_MS)
 
 
-def _final(metric: Callable[..., DataFrame], **options) -> Query:
+def _final(metric: Callable[..., DataFrame], window_ms: int, **options) -> Query:
+    """The metric of a stream that holds the table first, and later one closing message.
+
+    That message's time is past the last window, so that all windows come out but its
+    own; it passes no metric's filter.
+    """
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         session = _stream_session(spark)
         home = scratch_folder(spark, "final")
+        rows = messages(session, sf_dir)
+        closing = f"{home}/closing"
+        rows.limit(0).write.parquet(closing)
+        later = session.readStream.schema(rows.schema).parquet(closing)
         table = streaming.final_metric(
-            events_as_messages(stream_of_events(session, sf_dir)),
+            events_as_messages(stream_of_events(session, sf_dir)).unionByName(later),
             metric,
             f"{FINAL_DELAY_MS} milliseconds",
+            window_ms=window_ms,
             **options,
         )
-        streaming.start_final(
-            table, f"{home}/out", f"{home}/checkpoint", every=None
-        ).awaitTermination()
+
+        def take_all() -> None:
+            streaming.start_final(
+                table, f"{home}/out", f"{home}/checkpoint", every=None
+            ).awaitTermination()
+
+        take_all()
+        past = F.max("timestamp") + 2 * window_ms + FINAL_DELAY_MS
+        last = rows.agg(past.alias("timestamp")).withColumn("eventTime", fn.event_time("timestamp"))
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in rows.schema if f.name not in last.columns}
+        last.withColumns(empty).select(rows.columns).write.mode("append").parquet(closing)
+        take_all()
         return spark.read.schema(table.schema).parquet(f"{home}/out")
 
     return run

@@ -2,7 +2,7 @@
 
 from talktally.functions.classify import node_state, response_type, trigger_intent
 from talktally.functions.documents import collection_name, document, strip_backslashes
-from talktally.functions.presence import missing_to_empty, present
+from talktally.functions.presence import missing_to_empty, only, present
 from talktally.functions.timing import event_time, time_mark, to_long, zoned_text
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "event_time",
     "missing_to_empty",
     "node_state",
+    "only",
     "present",
     "response_type",
     "strip_backslashes",

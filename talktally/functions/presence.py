@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talktally.schema import MISSING_MARK
@@ -20,6 +20,17 @@ def present(value: Column | str) -> Column:
     return _col(value).isNotNull() & ~_col(value).isin("", MISSING_MARK)
 
 
+def only(messages: DataFrame, wanted: Column) -> DataFrame:
+    """The messages that a metric is about.
+
+    On a stream the condition reads the event time, so that Spark keeps it above the
+    watermark: every message then moves the watermark, whichever metric reads it.
+    """
+    if messages.isStreaming:
+        wanted = F.when(F.col("eventTime").isNotNull(), wanted)
+    return messages.filter(wanted)
+
+
 def missing_to_empty(value: Column | str) -> Column:
     """Null and empty text become the placeholder mark."""
     return F.coalesce(F.nullif(_col(value), F.lit("")), F.lit(MISSING_MARK))

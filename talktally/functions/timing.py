@@ -9,6 +9,10 @@ from talktally.functions.presence import _col
 from talktally.schema import DEFAULT_WINDOW_MS
 
 
+# Largest epoch ms, rounded, whose microseconds still fit a TIMESTAMP.
+MAX_CLOCK_MS = 9_000_000_000_000_000
+
+
 def to_long(value: Column | str) -> Column:
     """Text to BIGINT; null where it is not a whole number."""
     return _col(value).try_cast("bigint")
@@ -26,8 +30,9 @@ def time_mark(timestamp: Column | str, window_ms: int = DEFAULT_WINDOW_MS) -> Co
 
 
 def event_time(timestamp: Column | str) -> Column:
-    """Epoch ms as TIMESTAMP, the type watermarks need."""
-    return F.timestamp_millis(_col(timestamp))
+    """Epoch ms as TIMESTAMP, the type watermarks need; null beyond its range."""
+    ms = _col(timestamp)
+    return F.when(ms.between(-MAX_CLOCK_MS, MAX_CLOCK_MS), F.timestamp_millis(ms))
 
 
 def wall_clock_ms(clock: Column | str) -> Column:
@@ -46,9 +51,10 @@ def zoned_text(epoch_ms: Column | str, zone: str = "Asia/Calcutta") -> Column:
     """Epoch ms as ISO text with offset and zone, e.g. 2024-01-01T05:30+05:30[Asia/Calcutta].
 
     Seconds and milliseconds appear only when they are not zero. The result does
-    not depend on the session time zone.
+    not depend on the session time zone. Beyond the range of a TIMESTAMP it is null.
     """
     ms = _col(epoch_ms)
+    ms = F.when(ms.between(-MAX_CLOCK_MS, MAX_CLOCK_MS), ms)
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     day_ms = F.lit(86_400_000)
     utc = epoch + F.make_dt_interval(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talktally.functions import node_state, present, response_type, trigger_intent
+from talktally.functions import node_state, only, present, response_type, trigger_intent
 from talktally.functions.classify import is_journey_node, may_trigger
 from talktally.functions.timing import release_bucket, with_bucket
 from talktally.schema import (
@@ -56,7 +56,7 @@ def resp_type(messages: DataFrame, window_ms: int = DEFAULT_WINDOW_MS) -> DataFr
 
 def journey_nodes(messages: DataFrame, window_ms: int = DEFAULT_WINDOW_MS) -> DataFrame:
     """Moves between stages of a flow, by whether the answer was valid."""
-    moves = messages.filter(is_journey_node()).withColumn("state", node_state("status"))
+    moves = only(messages, is_journey_node()).withColumn("state", node_state("status"))
     return _count(moves, window_ms, *COUNT_ATTRIBUTES[JOURNEY_NODES])
 
 
@@ -65,10 +65,8 @@ def intent_triggers(
 ) -> DataFrame:
     """How often each intent was triggered; see `trigger_intent` for `ghost_col`."""
     triggered = (
-        messages.filter(may_trigger())
-        .withColumn("trigger", trigger_intent(ghost_col))
-        .filter(present("trigger"))
-        .withColumn("intentName", F.col("trigger"))
+        only(messages, may_trigger() & present(trigger_intent(ghost_col)))
+        .withColumn("intentName", trigger_intent(ghost_col))
     )
     return _count(triggered, window_ms, "intentName")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talktally.functions.timing import release_bucket, with_bucket
-from talktally.operators.users import _by_user, user_count_of
+from talktally.operators.users import AROUND_1970, _by_user, long_gap_sessions_of
 from talktally.schema import CHANNEL_KEYS, DEFAULT_WINDOW_MS
 
 FAN_IN = 1024
@@ -109,8 +109,9 @@ def _join_slices_in_array(df: DataFrame, keys: list[str], gap_ms: int) -> DataFr
 def _sessions_of_slices(slices: DataFrame, window_ms: int, gap_ms: int) -> DataFrame:
     df = slices.withColumn("breaks", F.lit(0).cast("bigint"))
     width = max(gap_ms, 1)
-    # A window that does not start on a slice boundary can touch one slice more.
-    while window_ms // width + 1 > FAN_IN:
+    # The window around 1970 is two long, and one that does not start on a slice boundary
+    # can touch one slice more.
+    while 2 * window_ms // width + 1 > FAN_IN:
         width *= FAN_IN
         df = df.withColumn("slice", _slice_start("first_ts", width))
         df = _join_slices(df, [*_USER_BUCKET, "slice"], gap_ms)
@@ -133,9 +134,9 @@ def session_count(
 ) -> DataFrame:
     """Sessions per project, channel and window; the gap defaults to the window.
 
-    A gap as long as the window never breaks inside it, so sessions are users then.
+    A gap as long as the window can break only the one around 1970.
     """
     gap = window_ms if gap_ms is None else gap_ms
     if gap >= window_ms:
-        return user_count_of(_by_user(messages, window_ms, ["messages"]))
+        return long_gap_sessions_of(_by_user(messages, window_ms, AROUND_1970), gap)
     return _sessions_of_slices(_slices(messages, window_ms, gap), window_ms, gap)

@@ -18,14 +18,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talktally.functions import present
+from talktally.functions import only, present
 from talktally.functions.timing import release_bucket, with_bucket
 from talktally.schema import CHANNEL_KEYS, DEFAULT_WINDOW_MS, EVENT_FIELDS
 
 _USER_BUCKET = [*CHANNEL_KEYS, "bucket", "senderId"]
 _CHANNEL_BUCKET = [*CHANNEL_KEYS, "bucket"]
 
-NUMBERS = ["messages", "min_ts", "max_ts"]
+# The two stamps next to 1970 tell whether a session ends there: that window is two long.
+AROUND_1970 = ["last_before_1970", "first_since_1970"]
+NUMBERS = ["messages", "min_ts", "max_ts", *AROUND_1970]
 EVENTS = ["first_event", "last_event", "last_intent", "last_stage"]
 STATES = [*NUMBERS, *EVENTS]
 
@@ -41,6 +43,8 @@ def _states() -> dict[str, Column]:
         "messages": F.count(F.lit(1)),
         "min_ts": F.min("timestamp"),
         "max_ts": F.max("timestamp"),
+        "last_before_1970": F.max(F.when(F.col("timestamp") < 0, F.col("timestamp"))),
+        "first_since_1970": F.min(F.when(F.col("timestamp") >= 0, F.col("timestamp"))),
         "first_event": F.min(event),
         "last_event": F.max(event),
         "last_intent": F.max(F.when(known, intent)),
@@ -52,6 +56,7 @@ def _merges() -> dict[str, Column]:
     merge = {name: F.max(name) for name in STATES}
     merge["messages"] = F.sum("messages")
     merge["min_ts"] = F.min("min_ts")
+    merge["first_since_1970"] = F.min("first_since_1970")
     merge["first_event"] = F.min("first_event")
     return merge
 
@@ -125,9 +130,16 @@ def time_spent_of(users: DataFrame, max_span_ms: int) -> DataFrame:
     )
 
 
-def user_count_of(users: DataFrame) -> DataFrame:
+def long_gap_sessions_of(users: DataFrame, gap_ms: int) -> DataFrame:
+    """Sessions for a gap no shorter than the window: users, and breaks around 1970.
+
+    Time marks truncate toward zero, so the window around 1970 is twice as long as the
+    others; nowhere else can two messages of a window be further apart than the gap.
+    """
+    silence = F.col("first_since_1970") - F.col("last_before_1970")
+    sessions = F.when(silence > gap_ms, 2).otherwise(1)
     return _finish(
-        users.groupBy(*_keys(users, _CHANNEL_BUCKET)).agg(F.count(F.lit(1)).alias("count"))
+        users.groupBy(*_keys(users, _CHANNEL_BUCKET)).agg(F.sum(sessions).alias("count"))
     )
 
 
@@ -188,13 +200,13 @@ def time_spent(
 
 def drop_off_intent(messages: DataFrame, window_ms: int = DEFAULT_WINDOW_MS) -> DataFrame:
     """Users by the intent of their last message that had one."""
-    known = messages.filter(present("intentName"))
+    known = only(messages, present("intentName"))
     return drop_off_intent_of(_by_user(known, window_ms, ["last_intent"]))
 
 
 def drop_off_stage(messages: DataFrame, window_ms: int = DEFAULT_WINDOW_MS) -> DataFrame:
     """Users by intent and stage of their last message that had both."""
-    known = messages.filter(present("intentName") & F.col("stageName").isNotNull())
+    known = only(messages, present("intentName") & F.col("stageName").isNotNull())
     return drop_off_stage_of(_by_user(known, window_ms, ["last_stage"]))
 
 

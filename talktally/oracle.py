@@ -6,7 +6,7 @@ sessions are lag over all rows, documents are built by the SQL engine's own JSON
 
 from __future__ import annotations
 
-from talktally.catalog import DAY_MS, FINAL_DELAY_MS, HALF_HOUR_MS
+from talktally.catalog import DAY_MS, HALF_HOUR_MS
 from talktally.schema import DEFAULT_WINDOW_MS
 from talktally.sources.events_table import FIELD_RULES
 
@@ -284,13 +284,10 @@ def all_sql() -> dict[str, str]:
     found: dict[str, str] = {}
     small, day = metric_sql(W, W), metric_sql(DAY_MS, HALF_HOUR_MS)
     whole_day = metric_sql(DAY_MS, DAY_MS)
-    closed = f"timeMark <= (SELECT max(timestamp) FROM m) - {FINAL_DELAY_MS}"
     for name in small:
         found[name] = f"{_messages()} {small[name]}"
         found[f"{name}_daily"] = f"{_messages(DAY_MS)} {whole_day[name]}"
-        found[f"stream_final_{name}"] = (
-            f"{_messages(DAY_MS)} SELECT * FROM ({whole_day[name]}) WHERE {closed}"
-        )
+        found[f"stream_final_{name}"] = f"{_messages(DAY_MS)} {whole_day[name]}"
         if name != "intent_triggers_intended":
             found[f"merged_{name}"] = f"{_messages(DAY_MS)} {day[name]}"
     daily = _messages(DAY_MS)
@@ -317,9 +314,7 @@ def all_sql() -> dict[str, str]:
     found |= {
         "session_count_gap30m": f"{daily} {_session_count(HALF_HOUR_MS)}",
         "session_count_gap1s": f"{daily} {_session_count(1000)}",
-        "stream_final_session_count_gap30m": (
-            f"{daily} SELECT * FROM ({_session_count(HALF_HOUR_MS)}) WHERE {closed}"
-        ),
+        "stream_final_session_count_gap30m": f"{daily} {_session_count(HALF_HOUR_MS)}",
         "time_spent_span1h": f"{daily} {_time_spent(3_600_000)}",
         "open_sessions_last_age1h": (
             f"{daily} {_open_sessions('DESC', 'maxTimestamp', 3_600_000)}"
@@ -366,7 +361,7 @@ def all_sql() -> dict[str, str]:
         ),
         "keyed_kafka_records": (
             f"{_messages()} SELECT 'allEvents' AS topic, 'allEvents' AS key, "
-            f"{event_json} AS value, true AS partition FROM m"
+            f"{event_json} AS value, CAST(seq % 12 % 4 AS INTEGER) AS partition FROM m"
         ),
         "dry_run_counts": f"{_messages()} {dry_run}",
         "stream_partial_documents": _documents(DAY_MS, HALF_HOUR_MS, source=parsed_day),

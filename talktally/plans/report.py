@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talktally import schema as s
@@ -41,17 +41,32 @@ def with_window_and_topic(table: DataFrame, metric: str, window_ms: int) -> Data
     )
 
 
-def metric_documents(tables: dict[str, DataFrame], window_ms: int) -> DataFrame:
+def typed_documents(
+    tables: dict[str, DataFrame], window_ms: int, stamps: dict[str, Column] | None = None
+) -> list[tuple[str, DataFrame]]:
+    """Collection and rows of each metric, with the columns that every document ends in.
+
+    `stamps` are further columns, such as the batch a document comes from.
+    """
+    return [
+        (
+            collection_name(tag_of(metric), window_ms),
+            with_window_and_topic(table, metric, window_ms).withColumns(stamps or {}),
+        )
+        for metric, table in tables.items()
+    ]
+
+
+def metric_documents(
+    tables: dict[str, DataFrame], window_ms: int, stamps: dict[str, Column] | None = None
+) -> DataFrame:
     """(collection, value): one JSON document for each row of each metric."""
-    frames = []
-    for metric, table in tables.items():
-        full = with_window_and_topic(table, metric, window_ms)
-        frames.append(
-            full.select(
-                F.lit(collection_name(tag_of(metric), window_ms)).alias("collection"),
-                document(*full.columns).alias("value"),
-            )
+    frames = [
+        full.select(
+            F.lit(collection).alias("collection"), document(*full.columns).alias("value")
         )
+        for collection, full in typed_documents(tables, window_ms, stamps)
+    ]
     return reduce(DataFrame.unionAll, frames)
 
 

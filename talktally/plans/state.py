@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from talktally.operators import counts, sessions, users
-from talktally.operators.users import STATES
+from talktally.operators.users import AROUND_1970, STATES
 from talktally.plans.groups import GROUPS, check_groups
 from talktally.schema import (
     DEFAULT_WINDOW_MS,
@@ -30,7 +30,7 @@ from talktally.schema import (
 
 # State columns each metric group needs of a user's window.
 _GROUP_STATES = {
-    "engagement": ["messages", "min_ts", "max_ts"],
+    "engagement": ["messages", "min_ts", "max_ts", *AROUND_1970],
     "performance": ["last_intent", "last_stage"],
     "detailed": ["first_event", "last_event"],
 }
@@ -141,7 +141,8 @@ def read_state(
 
     All batches are merged. One batch alone, named by `batch_id`, is whole as it was
     written and costs no shuffle. `like` gives the schemas, for a store that may not
-    hold a single row yet.
+    hold a single row yet. Windows before year 1 and after year 9999, which folder names
+    cannot hold, are stored under the first and the last date, and dates bound them there.
     """
     gap = window_ms if gap_ms is None else gap_ms
     sliced = "engagement" in check_groups(groups) and gap < window_ms
@@ -210,7 +211,7 @@ def metrics_of(
             tables["distinct_users"] = users.distinct_users_of(state.users)
             tables["time_spent"] = users.time_spent_of(state.users, span)
             tables["session_count"] = (
-                users.user_count_of(state.users)
+                users.long_gap_sessions_of(state.users, state.gap_ms)
                 if state.slices is None
                 else sessions.session_count_of(state.slices, state.window_ms, state.gap_ms)
             )

@@ -104,14 +104,14 @@ def events_as_raw(events: DataFrame) -> DataFrame:
         F.col("humanSupport").alias("requestAssistance"),
     )
     in_array = (F.col("seq") % 41 == 0) & (F.col("seq") % 37 != 0) & (F.col("seq") % 31 != 0)
-    length = (
-        F.when(F.col("seq") % 31 == 0, F.lit(0))
-        .when(F.col("seq") % 37 == 0, F.lit(20))
-        .otherwise(F.lit(1_000_000))
+    text = (
+        F.when(F.col("seq") % 31 == 0, F.lit(""))
+        .when(F.col("seq") % 37 == 0, F.substring(line, 1, 20))
+        .otherwise(line)
     )
     value = F.concat(
         F.when(in_array, F.lit("[")).otherwise(F.lit("")),
-        F.substring(line, F.lit(1), length),
+        text,
         F.when(in_array, F.lit("]")).otherwise(F.lit("")),
     )
     # Exploding one value looks idle, but without it Catalyst pushes every filter on

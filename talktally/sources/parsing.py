@@ -6,14 +6,16 @@ was wrong) -> bot_messages -> usable | quarantined -> messages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talktally.functions import event_time, present, to_long
 from talktally.schema import COLUMN_OF_JSON_PATH, EVENT_FIELDS, EVENT_TYPE
 
-# Largest epoch ms, rounded, whose microseconds still fit a TIMESTAMP.
-MAX_TIMESTAMP_MS = 9_000_000_000_000_000
+# Largest epoch ms, rounded, that leaves a BIGINT room for the end of its window.
+MAX_TIMESTAMP_MS = 9_200_000_000_000_000_000
 
 MESSAGE_COLUMNS = [
     "projectId",
@@ -40,7 +42,7 @@ def parse_events(
 
     A line may hold an object or an array of objects. A line that is not JSON
     stays as one row of nulls with `malformed` set. `any_key_case` matches keys
-    without regard to case, at the cost of a second parse of the nested part.
+    without regard to case, at the cost of a parse of each nested object.
     `missing_default` replaces null fields.
     """
     lines = non_empty(raw)
@@ -71,7 +73,7 @@ def parse_events(
 
 
 def readable_timestamp() -> Column:
-    """The timestamp as BIGINT; null if it is no number or too large for a TIMESTAMP."""
+    """The timestamp as BIGINT; null if it is no number or its time mark would overflow."""
     number = to_long("timestamp")
     return F.when(number.between(-MAX_TIMESTAMP_MS, MAX_TIMESTAMP_MS), number)
 
@@ -114,14 +116,19 @@ def to_messages(raw: DataFrame, **options) -> DataFrame:
 
 def _with_objects_any_case(lines: DataFrame) -> DataFrame:
     def field(obj: Column, name: str) -> Column:
+        # Of a repeated key the last value holds, as in the parse by exact keys.
         hits = F.filter(F.map_entries(obj), lambda e: F.lower(e["key"]) == name.lower())
-        return F.get(hits, F.lit(0))["value"]
+        return F.try_element_at(hits, F.lit(-1))["value"]
 
-    def nested(obj: Column, name: str) -> Column:
-        return F.from_json(field(obj, name), "map<string,string>")
+    def parsed(name: str) -> Callable[[Column], Column]:
+        """Beside each object its inner one, parsed once for all its fields."""
+        return lambda pair: F.struct(
+            pair["obj"].alias("obj"),
+            F.from_json(field(pair["inner"], name), "map<string,string>").alias("inner"),
+        )
 
-    def event(obj: Column) -> Column:
-        status = nested(nested(obj, "payload"), "status")
+    def event(pair: Column) -> Column:
+        obj, status = pair["obj"], pair["inner"]
         leaves = ["final", "prevConversation", "previousStage"]
         payload = F.struct(
             F.struct(*[field(status, n).alias(n) for n in leaves]).alias("status")
@@ -142,5 +149,10 @@ def _with_objects_any_case(lines: DataFrame) -> DataFrame:
             "maps",
             F.when(F.col("single").isNotNull(), F.array("single")).otherwise(F.col("listed")),
         )
-        .withColumn("objects", F.transform("maps", event))
+        .withColumn(
+            "pairs", F.transform("maps", lambda m: F.struct(m.alias("obj"), m.alias("inner")))
+        )
+        .withColumn("pairs", F.transform("pairs", parsed("payload")))
+        .withColumn("pairs", F.transform("pairs", parsed("status")))
+        .withColumn("objects", F.transform("pairs", event))
     )

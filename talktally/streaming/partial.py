@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from talktally.plans.archive import event_sourcing, write_archive, write_raw_archive
 from talktally.plans.groups import GROUPS
-from talktally.plans.report import metric_documents
+from talktally.plans.report import metric_documents, typed_documents
 from talktally.plans.state import build_state, metrics_of, read_state, write_state
 from talktally.schema import DEFAULT_WINDOW_MS
 from talktally.sinks import fan_out, write_batch_parquet
@@ -26,6 +26,7 @@ from talktally.streaming.lag import batch_lag
 
 
 Sink = Callable[[DataFrame, int], None]
+TableSink = Callable[[str, DataFrame, int], None]
 
 
 @dataclass(frozen=True)
@@ -35,8 +36,10 @@ class BatchJob:
     `store` is a folder that all executors see. Under it go `state`, `lag` and, where
     asked for, `quarantine`, `archive` and `raw`. `document_sinks` receive the
     batch's own metric documents (collection, value), which are not upserted: use
-    the state for totals. `archive_sinks` receive every raw line and every message
-    the same way.
+    the state for totals. `table_sinks` receive the same rows as typed tables, one call
+    for each collection. Both carry the batch's id and time; a retried batch has its
+    first id, by which a consumer leaves out what it has. `archive_sinks` receive every
+    raw line and every message as documents.
     """
 
     store: str
@@ -49,11 +52,22 @@ class BatchJob:
     keep_raw: bool = False
     parse_options: dict = field(default_factory=dict)
     document_sinks: tuple[Sink, ...] = ()
+    table_sinks: tuple[TableSink, ...] = ()
     archive_sinks: tuple[Sink, ...] = ()
     clock: Callable[[], float] = time.time
 
     def __call__(self, raw: DataFrame, batch_id: int) -> None:
         now = int(self.clock() * 1000)
+        kept = self.keep_raw or self.archive_sinks
+        if kept:
+            raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._run(raw, batch_id, now)
+        finally:
+            if kept:
+                raw.unpersist()
+
+    def _run(self, raw: DataFrame, batch_id: int, now: int) -> None:
         if self.keep_raw:
             write_raw_archive(raw, f"{self.store}/raw", now, batch_id)
         # Parsing is the dear part, so every output of the batch reads it from here.
@@ -66,13 +80,14 @@ class BatchJob:
             write_batch_parquet(lag, f"{self.store}/lag", batch_id)
             if self.keep_archive:
                 write_archive(messages, f"{self.store}/archive", batch_id)
-            for documents in event_sourcing(raw, messages).values():
-                self._send(documents, self.archive_sinks, batch_id)
-            self._write_metrics(messages, batch_id)
+            if self.archive_sinks:
+                for documents in event_sourcing(raw, messages).values():
+                    self._send(documents, self.archive_sinks, batch_id)
+            self._write_metrics(messages, batch_id, now)
         finally:
             events.unpersist()
 
-    def _write_metrics(self, messages: DataFrame, batch_id: int) -> None:
+    def _write_metrics(self, messages: DataFrame, batch_id: int, now: int) -> None:
         if not self.groups:
             return
         state = build_state(
@@ -80,7 +95,7 @@ class BatchJob:
         )
         path = f"{self.store}/state"
         write_state(state, path, batch_id, gather_dates=False)
-        if self.document_sinks:
+        if self.document_sinks or self.table_sinks:
             # From what was just stored, so that nothing is aggregated again.
             stored = read_state(
                 messages.sparkSession,
@@ -91,8 +106,20 @@ class BatchJob:
                 groups=self.groups,
                 like=state,
             )
-            documents = metric_documents(metrics_of(stored, self.groups), self.window_ms)
-            self._send(documents, self.document_sinks, batch_id)
+            stamps = {
+                "batchId": F.lit(batch_id).cast("bigint"),
+                "batchTime": F.lit(now).cast("bigint"),
+            }
+            metrics = metrics_of(stored, self.groups)
+            if self.document_sinks:
+                documents = metric_documents(metrics, self.window_ms, stamps)
+                self._send(documents, self.document_sinks, batch_id)
+            for collection, table in typed_documents(metrics, self.window_ms, stamps):
+                writers = [
+                    lambda t, send=send, name=collection: send(name, t, batch_id)
+                    for send in self.table_sinks
+                ]
+                fan_out(table, writers)
 
     @staticmethod
     def _send(documents: DataFrame, targets: tuple[Sink, ...], batch_id: int) -> None:

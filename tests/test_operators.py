@@ -220,3 +220,13 @@ def test_schema_of_helpers_matches_the_canonical_columns(spark):
     assert set(catalog.messages(spark, SF_DIR).columns) == {
         part.split()[0] for part in SCHEMA.split(", ")
     } | {"eventTime"}
+
+
+@pytest.mark.parametrize(("gap", "sessions"), [(W, 2), (W + 1, 2), (2 * W - 1, 1), (W - 1, 2)])
+def test_the_window_around_1970_is_two_long(spark, gap, sessions):
+    times = (-W + 1, W - 1)
+    found = messages(spark, *[message(-T0 + t) for t in times])
+    assert [r["count"] for r in op.session_count(found, gap_ms=gap).collect()] == [sessions]
+    split = found.withColumn("batch", F.col("timestamp") < 0)
+    state = merge_state(build_state(split, gap_ms=gap, split_by=("batch",)))
+    assert [r["count"] for r in metrics_of(state)["session_count"].collect()] == [sessions]

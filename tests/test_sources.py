@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from talktally import operators as op
 from talktally.sources import (
     events_as_messages,
     parse_events,
@@ -17,7 +18,7 @@ from talktally.sources import (
     usable,
 )
 from talktally.sources import kafka
-from tests.helpers import T0, event, line, rows
+from tests.helpers import T0, W, event, line, rows
 
 
 def raw(spark, *values):
@@ -74,14 +75,35 @@ def test_bad_lines_are_quarantined_not_fatal(spark):
     assert got == dict(zip(bad, ["malformed"] * 2 + ["bad_timestamp"] * 2, strict=True))
 
 
-def test_timestamps_too_large_for_a_timestamp_are_quarantined(spark):
-    largest = 9_000_000_000_000_000
+def test_timestamps_too_large_for_a_time_mark_are_quarantined(spark):
+    largest = 9_200_000_000_000_000_000
     lines = [line(timestamp=t) for t in (2**63 - 1, -(2**63), 2**63, largest, -largest)]
     events = parse_events(raw(spark, *lines))
     assert rows(usable(events).select("timestamp")) == [(-largest,), (largest,)]
     assert sorted(r["value"] for r in quarantined(events).collect()) == sorted(lines[:3])
 
 
+def test_timestamps_beyond_a_clock_count_all_the_same(spark):
+    far = 9_000_000_000_000_001
+    found = to_messages(raw(spark, line(timestamp=far), line(timestamp=-far)))
+    assert rows(found.select("timestamp", "eventTime")) == [(-far, None), (far, None)]
+    marks = rows(op.message_count(found).select("timeMark", "count"))
+    assert marks == [(-(far // W) * W + W, 1), (far // W * W + W, 1)]
+
+
+def test_the_last_of_a_repeated_key_holds_in_both_parses(spark):
+    twice = line().replace('"projectId"', '"projectId": "p0", "projectId"', 1)
+    for any_case in (False, True):
+        found = to_messages(raw(spark, twice), any_key_case=any_case).first()
+        assert found["projectId"] == event()["projectId"]
+
+
+def test_any_key_case_parses_each_nested_object_once(spark):
+    events = parse_events(raw(spark, line()), any_key_case=True)
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 4
+
+
 def test_good_rows_do_not_carry_their_text(spark):
     got = parse_events(raw(spark, line(), "broken")).select("malformed", "value").collect()
     assert sorted(map(tuple, got)) == [(False, None), (True, "broken")]

@@ -196,6 +196,23 @@ def test_final_rows_equal_the_batch_once_closed(spark, tmp_path, monkeypatch, me
     assert rows(got) == rows(metric(whole, **options))
 
 
+@pytest.mark.parametrize(
+    "metric", [op.drop_off_intent, op.drop_off_stage, op.journey_nodes, op.intent_triggers]
+)
+def test_messages_that_a_metric_leaves_out_close_its_windows(spark, tmp_path, metric):
+    folder = str(tmp_path / "in")
+    journey = {"final": "inFlowNextValidated", "prevConversation": "flow", "previousStage": "s0"}
+    counted = [line(0), line(1, payload={"status": journey})]
+    other = {"payload": {"status": {"final": "cancel"}}, "conversationId": None}
+    for lines in (counted, [line(100 * W, **other)], [line(101 * W, **other)]):
+        write_files(folder, lines, 1)
+        time.sleep(0.05)
+    got = _final(spark, tmp_path, metric, "m")
+    whole = to_messages(read_lines(spark, folder))
+    assert got.count() > 0
+    assert rows(got) == rows(metric(whole.filter(F.col("timestamp") < T0 + W)))
+
+
 def test_late_rows_are_left_out_of_final_but_not_of_partial(spark, tmp_path):
     folder, store = str(tmp_path / "in"), str(tmp_path / "store")
     # Each file is a batch. The last message of all is for a window closed before.
