@@ -45,6 +45,7 @@ PERCENT = 75
 SLACK = 32  # l is a set's size by this
 SMALL = 48  # members of a cell that are compared without pivots
 PIVOTS = 8
+HASH_RANGE = 1 << 30
 BLOCK_SHINGLES = 100_000
 SAMPLE_OF = 64  # the global order puts last what is frequent in one text of so many
 MOST_FREQUENT = 50_000  # shingles that are put last; this changes cost, never results
@@ -363,7 +364,9 @@ def links_of_cells(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
         if large.isEmpty():
             check(pairs)
             return links()
-        chance = F.pmod(F.xxhash64("name", F.lit(level), "cell"), F.col("members")) < PIVOTS
+        # The same sets are pivots in all cells of like size, so that pairs repeat.
+        drawn = F.pmod(F.xxhash64("name", F.lit(level)), F.lit(HASH_RANGE))
+        chance = drawn * F.col("members") < PIVOTS * HASH_RANGE
         large = large.withColumn("is_pivot", chance | (F.col("name") == F.col("one")))
         to_pivot = (
             large.alias("x")
