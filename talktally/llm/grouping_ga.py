@@ -159,7 +159,8 @@ def evolve(
     for _ in range(effort.generations):
         if not lengths or len(scored[0][2]) <= least:
             break
-        host, guest = (min(rng.sample(range(len(scored)), 2)) for _ in range(2))
+        # Of two drawn at random the better one is a parent.
+        host, guest = (min(rng.choices(range(len(scored)), k=2)) for _ in range(2))
         child = (
             crossover(scored[host][2], scored[guest][2], lengths, capacity, rng)
             if host != guest

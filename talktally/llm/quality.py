@@ -186,8 +186,8 @@ def fit_quality(
             rows += [places.values.to_numpy() for places in batch.column(1)]
         # A fixed order, whatever order the rows have come in.
         order = sorted(range(len(rows)), key=lambda i: (len(rows[i]), rows[i].tobytes(), known[i]))
-        order = np.random.default_rng(1).permutation(order)
-        model = fitted([rows[i] for i in order], np.array(known, np.int64)[order])
+        order = np.random.default_rng(1).permutation(order).astype(int).tolist()
+        model = fitted([rows[i] for i in order], np.array([known[i] for i in order], np.int64))
         yield pa.RecordBatch.from_pydict({"model": [model.to_bytes()]})
 
     encoded = sample.mapInArrow(features, "label int, places array<int>").repartition(1)

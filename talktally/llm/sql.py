@@ -65,8 +65,8 @@ LATTICE_DEDUP = f"""
 WITH RECURSIVE nodes AS (SELECT vec_id AS id FROM embeddings),
 good AS (
     SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-    WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> isfinite(x))) = len(embedding)
-        AND len(list_filter(embedding, x -> x <> 0)) > 0
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
 links AS (
     SELECT x.vec_id AS a, y.vec_id AS b

@@ -21,9 +21,13 @@ WHITE = bytes([0x20, *range(0x09, 0x0E)])
 
 
 def byte_table(separators: bytes) -> np.ndarray:
-    """For each byte, its value with A-Z in lower case, and 0 for a separator."""
+    """For each byte, its value with A-Z in lower case, and 0 for a separator.
+
+    The null character, no separator, has 255, which UTF-8 does not use.
+    """
     table = np.arange(256, dtype=np.uint8)
     table[0x41:0x5B] += 32
+    table[0] = 0xFF
     table[list(separators)] = 0
     return table
 
