@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import glob
 import json
 import logging
 import os
 import random
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from talktally import operators as op
 from talktally.plans import metric_groups, metrics_of, read_state
 from talktally.session import scratch_folder
-from talktally.__main__ import main
+from talktally.__main__ import arguments, job_of, main
 from talktally.sinks import log_counts, write_batch_text
 from talktally.sources import read_lines, stream_lines, to_messages, usable, parse_events
 from talktally.streaming import (
@@ -154,6 +156,59 @@ def test_the_whole_job_from_the_command_line(spark, tmp_path):
         main(["--topics", "t", "--store", store, "--checkpoint", cp])
 
 
+def test_store_and_topic_get_the_same_rows_with_the_batch(spark, tmp_path):
+    folder, store, kept = (str(tmp_path / n) for n in ("in", "store", "kept"))
+    write_files(folder, make_lines(60), 1)
+    sent: dict[int, list[str]] = {}
+
+    def topic(documents, batch_id):
+        found = [json.loads(r["value"]) for r in documents.collect()]
+        sent.setdefault(batch_id, []).append(sorted(json.dumps(d, sort_keys=True) for d in found))
+
+    options = arguments(
+        ["--lines", folder, "--store", store, "--checkpoint", str(tmp_path / "cp"), "--gap-seconds", "60"]
+        + ["--documents-format", "json", "--documents-option", f"path={kept}", "--any-key-case"]
+    )
+    job = replace(job_of(options), document_sinks=(topic,), clock=lambda: 1000.0)
+    raw = read_lines(spark, folder)
+    job(raw, 7)
+    job(raw, 7)
+    # A retry sends the same rows under the same batch, by which they are told apart.
+    assert sent[7][0] == sent[7][1] and all('"batchId": 7' in d for d in sent[7][0])
+    stored = [
+        json.dumps(json.loads(line), sort_keys=True)
+        for file in glob.glob(f"{kept}/*/part-*")
+        for line in open(file, encoding="utf-8")
+    ]
+    drop_nulls = [
+        json.dumps({k: v for k, v in json.loads(d).items() if v is not None}, sort_keys=True)
+        for d in sent[7][0] + sent[7][1]
+    ]
+    assert sorted(stored) == sorted(drop_nulls)
+
+
+def test_options_reach_the_job(tmp_path):
+    given = ["--lines", "in", "--store", "s", "--checkpoint", "c", "--servers", "b:1"]
+    job = job_of(arguments([*given, "--publish-events", "--ghost-col", "intentDetected", "--any-key-case"]))
+    assert job.ghost_col == "intentDetected" and job.parse_options == {"any_key_case": True}
+    assert len(job.archive_sinks) == 1 and not job.table_sinks
+    with pytest.raises(SystemExit):
+        arguments(given[:-2] + ["--publish-events"])
+
+
+def test_final_mode_from_the_command_line(spark, tmp_path):
+    folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    for lines in ([line(0), line(1, senderId="u2")], [line(100 * W)], [line(101 * W)]):
+        write_files(folder, lines, 1)
+        time.sleep(0.05)
+    main(
+        ["--lines", folder, "--store", store, "--checkpoint", str(tmp_path / "cp"), "--once"]
+        + ["--final", "distinct_users", "--final-delay-seconds", "1", "--max-per-batch", "1"]
+    )
+    found = spark.read.parquet(f"{store}/distinct_users").filter(F.col("timeMark") == T0 + W)
+    assert sorted(r["senderId"] for r in found.collect()) == ["u1", "u2"]
+
+
 def test_a_batch_without_messages_is_no_trouble(spark, tmp_path):
     folder, store = str(tmp_path / "in"), str(tmp_path / "store")
     write_files(folder, ["broken", line(projectId="")], 1)
