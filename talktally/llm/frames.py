@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from talktally.session import scratch_folder
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator works on, a null text as an empty one."""
     return df.select(
@@ -36,8 +39,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship_modules(spark: SparkSession) -> None:
-    """Give the executors this package, once for each Spark application."""
+    """Give the executors this package, once for each Spark application.
+
+    Batches to and from Python are kept small where the session has not set their size:
+    operators work on a few megabytes at a time, and larger batches only take memory.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_BYTES) == "67108864b":
+        spark.conf.set(BATCH_BYTES, "8m")
     if getattr(context, "_talktally_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -63,11 +72,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
-def row_blocks(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+def row_blocks(
+    ends: np.ndarray, most: int, most_rows: int | None = None
+) -> Iterator[tuple[int, int]]:
     """Runs of rows of at most that many bytes together; a longer row is a run of its own."""
     first, rows = 0, len(ends) - 1
     while first < rows:
         last = int(np.searchsorted(ends, ends[first] + most, side="right")) - 1
-        last = min(max(last, first + 1), rows)
+        last = min(max(last, first + 1), rows, first + (most_rows or rows))
         yield first, last
         first = last

@@ -33,7 +33,7 @@ from talktally.llm.labelled import (
 
 GRAM = 4
 PLACES = 1 << 16
-BLOCK = 1 << 20
+BLOCK, BLOCK_ROWS = 1 << 20, 256  # bytes and rows taken at a time
 SAMPLE_ROWS = 8000
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -42,7 +42,7 @@ THRESHOLD = 0.3
 def indicators(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For runs of rows: first, last, and row and place of each n-gram that occurs."""
     data, ends = utf8(texts)
-    for first, last in row_blocks(ends, BLOCK):
+    for first, last in row_blocks(ends, BLOCK, BLOCK_ROWS):
         seen = np.zeros((last - first) * PLACES, bool)
         for start in range(int(ends[first]), int(ends[last]), BLOCK):
             stop = min(start + BLOCK + GRAM - 1, int(ends[last]))
@@ -68,24 +68,27 @@ def log_count_ratio(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
 
 
 def dual_coordinate_descent(
-    rows: list[tuple[np.ndarray, np.ndarray]],
+    rows: list[np.ndarray],
+    scales: np.ndarray,
+    features: np.ndarray,
     labels: np.ndarray,
-    size: int,
     cost: np.ndarray,
     rounds: int = 15,
     seed: int = 7,
 ) -> np.ndarray:
     """Weights of the linear model with squared hinge loss; labels are 1 and -1.
 
-    One dual variable a row; each step sets one to its best value with the others held.
+    A row has the value scale * features[place] in each of its places. One dual variable
+    a row; each step sets one to its best value with the others held.
     """
     rng = np.random.default_rng(seed)
-    weights, dual = np.zeros(size), np.zeros(len(rows))
-    squares = np.array([values @ values for _, values in rows]) + 1 / (2 * cost)
+    weights, dual = np.zeros(len(features)), np.zeros(len(rows))
+    squares = np.array([(features[p] ** 2).sum() for p in rows]) * scales**2 + 1 / (2 * cost)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            places, values = rows[i]
+            places = rows[i]
+            values = features[places] * scales[i]
             gradient = labels[i] * (weights[places] @ values) - 1 + dual[i] / (2 * cost[i])
             new = max(dual[i] - gradient / squares[i], 0.0)
             if new != dual[i]:
@@ -143,14 +146,14 @@ def fitted(rows: list[np.ndarray], labels: np.ndarray, cost: float = 4.0) -> Qua
         apart[:] = False
     train = np.flatnonzero(~apart)
     ratio = log_count_ratio([rows[i] for i in train], labels[train])
-    last = PLACES  # the offset, a feature that every text has
-    examples = []
-    for i in train:
-        values = np.append(ratio[rows[i]], 1.0)
-        examples.append((np.append(rows[i], last), values / np.sqrt(values @ values)))
+    # The last feature is the offset, which every text has.
+    features = np.append(ratio, 1.0)
+    examples = [np.append(rows[i], np.int32(PLACES)) for i in train]
+    scales = np.array([1 / np.sqrt((features[p] ** 2).sum()) for p in examples])
     share = labels[train].mean()
     costs = cost * np.where(labels[train] == 1, 0.5 / share, 0.5 / (1 - share))
-    weights = dual_coordinate_descent(examples, 2 * labels[train] - 1, PLACES + 1, costs)
+    signs = 2 * labels[train] - 1
+    weights = dual_coordinate_descent(examples, scales, features, signs, costs)
     model = QualityModel(weights[:-1] * ratio, ratio**2, float(weights[-1]), 1.0, 0.0)
     shown = np.flatnonzero(apart) if apart.any() else train
     margins = np.array([model.margins(np.zeros(len(rows[i]), np.int64), rows[i], 1)[0] for i in shown])

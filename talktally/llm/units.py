@@ -17,8 +17,8 @@ import numpy as np
 
 from talktally.llm.frames import row_blocks
 
-BLOCK = 1 << 22
-MOST_KNOWN = 1_000_000  # units that a worker remembers
+BLOCK = 1 << 21
+MOST_KNOWN = 600_000  # units that a worker remembers
 LONG = 16  # bytes; longer units are encoded each time
 
 _MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)

@@ -48,9 +48,16 @@ def test_dual_coordinate_descent_separates():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((80, 5))
     y = np.where(x @ [1.0, -2, 0.5, 0, 1] > 0, 1, -1)
-    rows = [(np.arange(5), v) for v in x]
-    w = quality.dual_coordinate_descent(rows, y, 5, np.full(80, 10.0), rounds=200)
-    assert (np.sign(x @ w) == y).mean() > 0.97
+    # Each row has places of its own for its values, and shares those of the weights below.
+    values = np.concatenate([x.ravel(), np.zeros(0)])
+    rows = [np.arange(5 * i, 5 * i + 5) for i in range(80)]
+    apart = quality.dual_coordinate_descent(rows, np.ones(80), values, y, np.full(80, 10.0))
+    assert ((apart * values).reshape(80, 5).sum(axis=1) * y > 0.9).all()
+    some = [np.flatnonzero(rng.random(30) < 0.5) for _ in range(200)]
+    truth, features = rng.standard_normal(30), rng.uniform(0.5, 2, 30)
+    y = np.array([1 if (truth[p] * features[p]).sum() > 0 else -1 for p in some])
+    w = quality.dual_coordinate_descent(some, np.ones(200), features, y, np.full(200, 10.0), rounds=300)
+    assert np.mean([np.sign((w[p] * features[p]).sum()) == s for p, s in zip(some, y, strict=True)]) > 0.95
 
 
 def test_accepted_keeps_whole_rows(spark):
