@@ -160,7 +160,7 @@ def _with_next(texts: DataFrame, block_rows: int) -> DataFrame:
         dealt.join(F.broadcast(extra), "key", "left")
         .withColumn("at", F.explode(F.array_compact(F.array(own, F.when(F.col("goes_to").isNotNull(), other)))))
         .select("at.block", "at.extra", "doc_id", "key", "text")
-        .repartition(len(tops), "block")
+        .repartitionById(len(cuts) + 1, "block")
         .sortWithinPartitions("block", "extra", F.desc("key"), "text")
     )
 
