@@ -177,6 +177,40 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sinks
 
 
+def raw_archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw archive as text files, a retried batch among them, read back."""
+    home = scratch_folder(spark, "raw")
+    lines = raw(spark, sf_dir)
+    for batch_id in (0, 1, 1):
+        part = lines.where(F.pmod("seq", F.lit(2)) == batch_id)
+        plans.write_raw_archive(part, home, 1000 + batch_id, batch_id)
+    return spark.read.text(f"{home}/batch_id=*/batch_time=*").select("value")
+
+
+def fan_out_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message's document sent to two stores, read back with the store's name."""
+    home = scratch_folder(spark, "fan-out")
+    documents = plans.all_events_documents(messages(spark, sf_dir))
+    targets = ("parquet", "json")
+    sinks.fan_out(
+        documents,
+        [
+            lambda rows, source=source: sinks.write_store(
+                rows, "events", source, path=f"{home}/{source}"
+            )
+            for source in targets
+        ],
+    )
+    found = [
+        spark.read.schema(documents.schema)
+        .format(source)
+        .load(f"{home}/{source}/events")
+        .withColumn("store", F.lit(source))
+        for source in targets
+    ]
+    return found[0].unionByName(found[1])
+
+
 def _performance_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     window = DEFAULT_WINDOW_MS
     tables = _stored_metrics(spark, sf_dir, window, window, groups=("performance",))
@@ -233,6 +267,21 @@ def stream_partial_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.metric_documents(plans.metrics_of(state), DAY_MS)
 
 
+def stream_restarted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts of a stream that stops, gets more lines and an empty file, and goes on."""
+    session = _stream_session(spark)
+    home = scratch_folder(spark, "restart")
+    lines = raw(session, sf_dir)
+    job = streaming.BatchJob(f"{home}/store", groups=("performance",), window_ms=DAY_MS)
+    for part in range(3):
+        # The last part has no line at all.
+        lines.where(F.pmod("seq", F.lit(2)) == part).write.mode("append").parquet(f"{home}/in")
+        stream = session.readStream.schema(lines.schema).parquet(f"{home}/in")
+        streaming.start_partial(stream, job, f"{home}/checkpoint", every=None).awaitTermination()
+    state = plans.read_state(spark, f"{home}/store/state", DAY_MS, groups=("performance",))
+    return plans.metric_documents(plans.metrics_of(state, ("performance",)), DAY_MS)
+
+
 def _final(metric: Callable[..., DataFrame], window_ms: int, **options) -> Query:
     """The metric of a stream that holds the table first, and later one closing message.
 
@@ -307,6 +356,9 @@ def all_queries() -> dict[str, Query]:
         "all_events_documents": lambda spark, sf_dir: plans.all_events_documents(
             messages(spark, sf_dir)
         ),
+        "raw_archive_files": raw_archive_files,
+        "fan_out_documents": fan_out_documents,
+        "stream_restarted_documents": stream_restarted_documents,
         "raw_archive": lambda spark, sf_dir: plans.raw_archive(raw(spark, sf_dir)),
         "batch_lag": batch_lag,
         "scalar_functions": scalar_functions,

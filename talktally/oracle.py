@@ -340,6 +340,14 @@ def all_sql() -> dict[str, str]:
             f"{_messages()} SELECT 'allEvents' AS collection, {event_json} AS value FROM m"
         ),
         "raw_archive": f"WITH {_lines()} SELECT value FROM lines WHERE value <> ''",
+        "raw_archive_files": f"WITH {_lines()} SELECT value FROM lines WHERE value <> ''",
+        "fan_out_documents": (
+            f"{_messages()}, d AS (SELECT 'allEvents' AS collection, {event_json} AS value FROM m) "
+            "SELECT *, 'parquet' AS store FROM d UNION ALL SELECT *, 'json' AS store FROM d"
+        ),
+        "stream_restarted_documents": _documents(
+            DAY_MS, HALF_HOUR_MS, performance, source=parsed_day
+        ),
         "batch_lag": (
             f"{_messages()} SELECT timeMark AS batch_time, {_zoned(f'(timeMark - {W})')} "
             f"AS from_time, {_zoned('timeMark')} AS to_time, count(*) AS messages, "

@@ -61,7 +61,7 @@ def main() -> int:
     spark, con = make_session(), duck_connection(sf_dir)
     sql, failed = entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if only and name not in only:
+        if name not in sql or (only and name not in only):
             continue
         start = time.time()
         try:
