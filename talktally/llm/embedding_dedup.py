@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +49,11 @@ class Lattice:
 
     def cells(self, unit: np.ndarray) -> np.ndarray:
         """For each vector and table, its own cell's number and those of probed ones."""
-        rng = np.random.default_rng(self.seed)
         width = 8 * self.blocks
         out = np.zeros((len(unit), self.tables, 1 + self.probes), np.int64)
         for table in range(self.tables):
-            drawn = rng.standard_normal((max(self.size, width), width))
-            directions = np.linalg.qr(drawn)[0][: self.size]
-            x = unit @ directions * (self.scale * math.sqrt(max(self.size, width)))
+            x = unit @ _directions(self.size, width, self.seed + table)
+            x = x * (self.scale * math.sqrt(max(self.size, width)))
             out[:, table] = self._members(x, table)
         return out
 
@@ -75,12 +74,23 @@ class Lattice:
         return np.concatenate([base[:, None], np.take_along_axis(moved, best, axis=1)], axis=1)
 
 
+@cache
+def _directions(size: int, width: int, seed: int) -> np.ndarray:
+    """Random orthogonal directions, as many as a table's blocks have numbers."""
+    drawn = np.random.default_rng(seed).standard_normal((max(size, width), width))
+    return np.linalg.qr(drawn)[0][:size]
+
+
+@cache
+def _factors(table: int, block: int) -> np.ndarray:
+    drawn = np.random.default_rng([table, block]).integers(1 << 62, size=8)
+    return drawn.astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def _named(points: np.ndarray, table: int, block: int) -> np.ndarray:
     """A 64-bit number for each point; a cell's is the sum of its points'."""
-    rng = np.random.default_rng([table, block])
-    odd = rng.integers(1 << 62, size=8).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     with np.errstate(over="ignore"):
-        name = (points.astype(np.uint64) * odd).sum(axis=-1) + np.uint64(table * 1_000_003 + block)
+        name = (points.astype(np.uint64) * _factors(table, block)).sum(axis=-1) + np.uint64(table * 1_000_003 + block)
         for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
             name = (name ^ (name >> np.uint64(shift))) * np.uint64(by)
     return name.view(np.int64)
@@ -188,28 +198,40 @@ def _found(members: DataFrame, lattice: Lattice, cosine: float) -> DataFrame:
         if held:
             yield pa.Table.from_batches(held)
 
+    def linked(table: pa.Table) -> tuple | None:
+        """Of a block pair, the vectors that have a link; only these need their cells."""
+        if len(table) < 2:
+            return None
+        table = table.combine_chunks()
+        cell, _, _, sides, reps, copies = (table[n].to_numpy() for n in names)
+        unit = _unit(_vectors(table["vector"].combine_chunks()))
+        some = np.flatnonzero((unit @ unit.T >= cosine).sum(axis=1) > 1)
+        return (cell[0], sides[some], reps[some], copies[some], unit[some]) if len(some) else None
+
+    def told(waiting: list[tuple]) -> pa.RecordBatch:
+        cells = lattice.cells(np.concatenate([w[-1] for w in waiting]))
+        columns, at = ([], [], []), 0
+        for cell, sides, reps, copies, unit in waiting:
+            own, at = cells[at : at + len(reps)], at + len(reps)
+            counts, least = compared(cell, sides, unit, own, copies, cosine)
+            shown = np.flatnonzero((counts > 0) | (least != np.arange(len(reps))))
+            for column, values in zip(columns, (reps, counts, reps[least]), strict=True):
+                column.append(values[shown])
+        arrays = [pa.array(np.concatenate(c)) for c in columns]
+        return pa.RecordBatch.from_arrays(arrays, names=["rep", "links", "least"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
+        rows = 0
         for table in groups(batches):
-            if len(table) < 2:
-                continue
-            table = table.combine_chunks()
-            _, _, _, sides, reps, copies = (table[n].to_numpy() for n in names)
-            cell = table["cell"][0].as_py()
-            unit = _unit(_vectors(table["vector"].combine_chunks()))
-            # Only vectors with a link need their cells.
-            like = unit @ unit.T >= cosine
-            some = np.flatnonzero(like.sum(axis=1) > 1)
-            if not len(some):
-                continue
-            counts, least = compared(
-                cell, sides[some], unit[some], lattice.cells(unit[some]), copies[some], cosine
-            )
-            shown = np.flatnonzero((counts > 0) | (least != np.arange(len(some))))
-            reps = reps[some]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(reps[shown]), pa.array(counts[shown]), pa.array(reps[least[shown]])],
-                names=["rep", "links", "least"],
-            )
+            if found := linked(table):
+                waiting.append(found)
+                rows += len(found[1])
+            if rows >= 2000:
+                yield told(waiting)
+                waiting, rows = [], 0
+        if waiting:
+            yield told(waiting)
 
     dealt = members.select(*names, "vector").repartition("cell", "one", "two")
     dealt = dealt.sortWithinPartitions("cell", "one", "two", "side", "rep")
