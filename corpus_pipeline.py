@@ -4,7 +4,8 @@ Quality and toxicity drop the documents that their classifiers reject, the join
 smallest id of each group of near duplicates, and packing lays the rest out in sequences.
 Each stage works on all documents that the one before it kept; null texts count as empty
 and pass as the classifiers decide. The join keeps rows without an id, and one row of
-those that share an id. Empty tables pass through. The stages keep the columns of documents; the last returns the packed pieces.
+those that share an id. Empty tables pass through. The stages keep the columns of
+documents; the last returns the packed pieces.
 """
 
 from __future__ import annotations

@@ -90,7 +90,8 @@ def _factors(table: int, block: int) -> np.ndarray:
 def _named(points: np.ndarray, table: int, block: int) -> np.ndarray:
     """A 64-bit number for each point; a cell's is the sum of its points'."""
     with np.errstate(over="ignore"):
-        name = (points.astype(np.uint64) * _factors(table, block)).sum(axis=-1) + np.uint64(table * 1_000_003 + block)
+        name = (points.astype(np.uint64) * _factors(table, block)).sum(axis=-1)
+        name = name + np.uint64(table * 1_000_003 + block)
         for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
             name = (name ^ (name >> np.uint64(shift))) * np.uint64(by)
     return name.view(np.int64)

@@ -148,17 +148,16 @@ def _with_next(texts: DataFrame, block_rows: int) -> DataFrame:
 
     dealt = keyed.select("*", block_of("key").alias("block"))
     bounds = keyed.select("key", block_of("key").alias("block"))
-    tops = sorted(
-        ((r["top"], r["block"]) for r in bounds.groupBy("block").agg(F.max("key").alias("top")).collect()),
-        reverse=True,
-    )
+    found = bounds.groupBy("block").agg(F.max("key").alias("top")).collect()
+    tops = sorted(((r["top"], r["block"]) for r in found), reverse=True)
     after = [(tops[(i + 1) % len(tops)][0], block) for i, (_, block) in enumerate(tops)]
     extra = texts.sparkSession.createDataFrame(after, "key long, goes_to int")
     own = F.struct(F.col("block"), F.lit(0).alias("extra"))
     other = F.struct(F.col("goes_to").alias("block"), F.lit(1).alias("extra"))
+    places = F.array_compact(F.array(own, F.when(F.col("goes_to").isNotNull(), other)))
     return (
         dealt.join(F.broadcast(extra), "key", "left")
-        .withColumn("at", F.explode(F.array_compact(F.array(own, F.when(F.col("goes_to").isNotNull(), other)))))
+        .withColumn("at", F.explode(places))
         .select("at.block", "at.extra", "doc_id", "key", "text")
         .repartitionById(len(cuts) + 1, "block")
         .sortWithinPartitions("block", "extra", F.desc("key"), "text")

@@ -422,5 +422,6 @@ def near_duplicates(
     return (
         named.withColumn("name", F.when(~empty, F.col("name")))
         .join(ids, "name", "left")
-        .select("doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        .withColumn("component_id", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")))
+        .select("doc_id", "n_shingles", "component_id")
     )

@@ -140,9 +140,9 @@ class UnitEncoder:
             if any(s in part.tobytes() for s in self._special):
                 yield self._with_special(part, breaks, first, last)
             elif len(part) > BLOCK:
-                cuts = self._starts(part, np.zeros(1, np.int64))
-                cuts = np.unique(cuts[np.searchsorted(cuts, np.arange(0, len(part), BLOCK))[:-1].clip(0, len(cuts) - 1)])
-                cuts = [0, *(int(c) for c in cuts if c > 0), len(part)]
+                starts = self._starts(part, np.zeros(1, np.int64))
+                at = np.searchsorted(starts, np.arange(BLOCK, len(part), BLOCK))
+                cuts = [0, *np.unique(starts[at[at < len(starts)]]).tolist(), len(part)]
                 ids = [
                     self._plain(part[a:b], np.array([0, b - a]))[0]
                     for a, b in zip(cuts, cuts[1:], strict=False)

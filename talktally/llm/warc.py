@@ -193,13 +193,14 @@ def merged_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame
         if not tables:
             return
         table = pa.Table.from_batches(tables)
-        keys = zip(*(table.column(i).to_pylist() for i in order), strict=True)
+        url_keys, stamps, pages = (table.column(i).to_pylist() for i in order)
         runs: dict[str, list[tuple]] = {}
-        for at, (run, key) in enumerate(zip(table.column(run_at).to_pylist(), keys, strict=True)):
-            # A null sorts first, as in Spark.
-            runs.setdefault(run, []).append((*((v is not None, v or 0) if v is None or isinstance(v, int) else v for v in key), at))
-        for run in runs.values():
-            run.sort()  # a shuffle may deliver a run's blocks in another order
+        for at, run in enumerate(table.column(run_at).to_pylist()):
+            # A page without id sorts first, as a null does in Spark.
+            page = (pages[at] is not None, pages[at] or 0)
+            runs.setdefault(run, []).append((url_keys[at], stamps[at], page, at))
+        for pieces in runs.values():
+            pieces.sort()  # a shuffle may deliver a run's blocks in another order
         places = [item[-1] for item in merged(runs[name] for name in sorted(runs))]
         found = table.take(pa.array(places)).combine_chunks()
         found = found.append_column(
