@@ -33,12 +33,15 @@ from talktally.llm.frames import stored
 
 COSINE = 0.95
 BLOCK_ROWS = 512
-CELLS_A_BLOCK = 400  # about so many lattice points that unit vectors come to in a block
 
 
 @dataclass(frozen=True)
 class Lattice:
-    """Tables of cells; more blocks make smaller cells, more tables and probes more meetings."""
+    """Tables of cells; more blocks make smaller cells, more tables and probes more meetings.
+
+    Tables of any size have cells of the same fineness, so that links are found alike; the
+    cells of a larger table have more members, which are dealt in more blocks.
+    """
 
     size: int
     blocks: int = 2
@@ -255,8 +258,7 @@ def linked_embeddings(
     )
     # Two classes of one id would be one node of the links' graph; ids name vectors.
     classes = stored(classes.select("rep", "vector", "copies"), "vector-classes")
-    blocks = max(2, math.ceil(math.log(max(2, classes.count())) / math.log(CELLS_A_BLOCK)))
-    lattice = Lattice(size, blocks=blocks, tables=tables, probes=probes)
+    lattice = Lattice(size, tables=tables, probes=probes)
     meeting = stored(_memberships(classes, lattice), "memberships").distinct()
     parts = F.ceil(F.count("*") / block_rows).cast("int").alias("parts")
     shared = meeting.groupBy("cell").agg(F.count("*").alias("members"), parts).where("members > 1")

@@ -124,6 +124,25 @@ def test_like_vectors_meet(cosine):
     assert (x[:, :, :, None] == y[:, :, None, :]).any(axis=(1, 2, 3)).mean() >= 0.95
 
 
+def pairs_at(cosine: float, count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    a, b = np.random.default_rng(seed).standard_normal((2, count, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    return a, cosine * a + np.sqrt(1 - cosine**2) * b / np.linalg.norm(b, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("rows", [200_000, 100_000_000])
+def test_links_of_large_tables_are_found_as_well(spark, monkeypatch, rows):
+    a, b = pairs_at(0.951, 400, 5)
+    vectors = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate([*a, *b])], "vec_id long, embedding array<double>"
+    )
+    # As if the table had so many rows.
+    monkeypatch.setattr(type(vectors), "count", lambda self: rows)
+    found = linked_embeddings(vectors).collect()
+    assert sum(r["n_links"] for r in found) / 800 >= 0.95
+
+
 def test_linked_embeddings(spark):
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((30, 16))
