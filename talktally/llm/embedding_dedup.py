@@ -112,9 +112,16 @@ def first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return found
 
 
+def _linked(vectors: np.ndarray, sides: np.ndarray, two: bool, cosine: float) -> np.ndarray:
+    """Which vectors of one block link, or which of two blocks across them."""
+    apart = sides[:, None] != sides[None, :] if two else ~np.eye(len(sides), dtype=bool)
+    return (vectors @ vectors.T >= cosine) & apart
+
+
 def compared(
     cell: int,
     sides: np.ndarray,
+    two: bool,
     vectors: np.ndarray,
     cells: np.ndarray,
     copies: np.ndarray,
@@ -125,10 +132,7 @@ def compared(
     sides are 0 for one block and also 1 for the other of two; pairs within a block are
     compared where the block is alone. Rows are in the order of their ids.
     """
-    like = vectors @ vectors.T
-    linked = like >= cosine
-    linked &= (sides[:, None] != sides[None, :]) if sides.any() else ~np.eye(len(sides), dtype=bool)
-    a, b = np.nonzero(np.triu(linked))
+    a, b = np.nonzero(np.triu(_linked(vectors, sides, two, cosine)))
     here = first_meeting(cells[a], cells[b]) == cell
     a, b = a[here], b[here]
     counts = np.bincount(a, copies[b], len(sides)) + np.bincount(b, copies[a], len(sides))
@@ -207,17 +211,22 @@ def _found(members: DataFrame, lattice: Lattice, cosine: float) -> DataFrame:
         if len(table) < 2:
             return None
         table = table.combine_chunks()
-        cell, _, _, sides, reps, copies = (table[n].to_numpy() for n in names)
+        cell, one, two, sides, reps, copies = (table[n].to_numpy() for n in names)
+        both = bool(one[0] != two[0])
+        if both and sides.min() == sides.max():
+            return None
         unit = _unit(_vectors(table["vector"].combine_chunks()))
-        some = np.flatnonzero((unit @ unit.T >= cosine).sum(axis=1) > 1)
-        return (cell[0], sides[some], reps[some], copies[some], unit[some]) if len(some) else None
+        some = np.flatnonzero(_linked(unit, sides, both, cosine).any(axis=1))
+        if not len(some):
+            return None
+        return cell[0], both, sides[some], reps[some], copies[some], unit[some]
 
     def told(waiting: list[tuple]) -> pa.RecordBatch:
         cells = lattice.cells(np.concatenate([w[-1] for w in waiting]))
         columns, at = ([], [], []), 0
-        for cell, sides, reps, copies, unit in waiting:
+        for cell, two, sides, reps, copies, unit in waiting:
             own, at = cells[at : at + len(reps)], at + len(reps)
-            counts, least = compared(cell, sides, unit, own, copies, cosine)
+            counts, least = compared(cell, sides, two, unit, own, copies, cosine)
             shown = np.flatnonzero((counts > 0) | (least != np.arange(len(reps))))
             for column, values in zip(columns, (reps, counts, reps[least]), strict=True):
                 column.append(values[shown])
@@ -230,7 +239,7 @@ def _found(members: DataFrame, lattice: Lattice, cosine: float) -> DataFrame:
         for table in groups(batches):
             if found := linked(table):
                 waiting.append(found)
-                rows += len(found[1])
+                rows += len(found[-1])
             if rows >= 2000:
                 yield told(waiting)
                 waiting, rows = [], 0

@@ -176,6 +176,22 @@ def test_linked_embeddings(spark):
     assert got[None] == (None, 0, None, False)
 
 
+def test_links_within_one_block_of_a_cell_count_once(spark):
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(64)
+    x = centre + 0.33 * rng.standard_normal((150, 64))
+    x[:30] = x[30:60] + 0.01 * rng.standard_normal((30, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    like = x @ x.T
+    degree = (like >= 0.95).sum(axis=1) - 1
+    assert degree.sum() == 60 and not ((like > 0.949) & (like < 0.951)).any()
+    vectors = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"
+    )
+    got = {r["vec_id"]: r["n_links"] for r in linked_embeddings(vectors, block_rows=8).collect()}
+    assert got == dict(enumerate(degree.tolist()))
+
+
 def test_equal_vectors_count_each_other(spark):
     rows = [(3, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [2.0, 4.0]), (9, [-1.0, 2.0]), (9, [-1.0, 2.0])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
