@@ -8,9 +8,9 @@ first meet as members of one cell, in double precision. Cells are dealt in block
 bounded size; a block pair gives for each vector how many links it found, and a spanning
 forest of the links, never the pairs.
 
-Equal vectors are one class throughout. Vectors that are null, empty, zero, of another
-length than most, or hold null or non-finite numbers link with nothing, as do rows
-without an id, which have a null component. Repeated rows of one id count as vectors of
+Equal vectors are one class throughout. Vectors of each length have a lattice of their own
+and link among themselves. Vectors that are null, empty, zero, or hold null or non-finite
+numbers link with nothing, as do rows without an id, which have a null component. Repeated rows of one id count as vectors of
 their own that share a component. An empty table gives no rows. Other columns of the
 input are ignored.
 """
@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +77,7 @@ class Lattice:
         return np.concatenate([base[:, None], np.take_along_axis(moved, best, axis=1)], axis=1)
 
 
-@cache
+@lru_cache(maxsize=96)  # tables of 16 lengths
 def _directions(size: int, width: int, seed: int) -> np.ndarray:
     """Random orthogonal directions, as many as a table's blocks have numbers."""
     drawn = np.random.default_rng(seed).standard_normal((max(size, width), width))
@@ -159,44 +159,48 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def _usable(embeddings: DataFrame, vector_col: str, id_col: str) -> tuple[DataFrame, int]:
+def _usable(embeddings: DataFrame, vector_col: str, id_col: str) -> DataFrame:
     vector = F.col(vector_col).cast("array<double>")
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("vector"))
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().where("size > 0")
-    most = sizes.orderBy(F.desc("count"), "size").first()
-    size = most["size"] if most else 0
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     nonzero = F.exists("vector", lambda x: x != 0)
-    good = F.col("vec_id").isNotNull() & (F.size("vector") == size) & finite & nonzero
-    return rows.withColumn("good", F.coalesce(good, F.lit(False))), size
+    good = F.col("vec_id").isNotNull() & finite & nonzero
+    return rows.withColumn("good", F.coalesce(good, F.lit(False)))
+
 
+def _memberships(classes: DataFrame, tables: int, probes: int) -> DataFrame:
+    """size, cell and rep; cells of different sizes have nothing to do with each other."""
 
-def _memberships(classes: DataFrame, lattice: Lattice) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), 2000):
                 part = batch.slice(start, 2000)
-                cells = lattice.cells(_unit(_vectors(part.column(1))))
-                each = cells.shape[1] * cells.shape[2]
-                ids = np.repeat(part.column(0).to_numpy(), each)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells.ravel()), pa.array(ids)], names=["cell", "rep"]
-                )
+                sizes = part.column(0).to_numpy()
+                for size in np.unique(sizes).tolist():
+                    own = part.take(pa.array(np.flatnonzero(sizes == size)))
+                    lattice = Lattice(size, tables=tables, probes=probes)
+                    cells = lattice.cells(_unit(_vectors(own.column(2))))
+                    each = cells.shape[1] * cells.shape[2]
+                    lengths, ids = (np.repeat(own.column(i).to_numpy(), each) for i in (0, 1))
+                    columns = [pa.array(c) for c in (lengths, cells.ravel(), ids)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["size", "cell", "rep"])
 
-    return classes.select("rep", "vector").mapInArrow(run, "cell long, rep long")
+    rows = classes.select("size", "rep", "vector")
+    return rows.mapInArrow(run, "size int, cell long, rep long")
 
 
-def _found(members: DataFrame, lattice: Lattice, cosine: float) -> DataFrame:
-    """rep, links and least (a linked rep, or itself) from rows sorted by block pair."""
-    names = ("cell", "one", "two", "side", "rep", "copies")
+def _found(members: DataFrame, tables: int, probes: int, cosine: float) -> DataFrame:
+    """size, rep, links and least (a linked rep, or itself) from rows sorted by block pair."""
+    names = ("size", "cell", "one", "two", "side", "rep", "copies")
+    keys = names[:4]
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """Whole block pairs, however the rows were cut into batches."""
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            keys = np.column_stack([batch.column(i).to_numpy() for i in range(3)])
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            if held and any(held[-1].column(i)[-1].as_py() != keys[0, i] for i in range(3)):
+            at_rows = np.column_stack([batch.column(i).to_numpy() for i in range(len(keys))])
+            cuts = np.flatnonzero((at_rows[1:] != at_rows[:-1]).any(axis=1)) + 1
+            if held and any(held[-1].column(i)[-1].as_py() != x for i, x in enumerate(at_rows[0])):
                 cuts = np.concatenate([[0], cuts])
             at = 0
             for cut in cuts.tolist():
@@ -211,7 +215,7 @@ def _found(members: DataFrame, lattice: Lattice, cosine: float) -> DataFrame:
         if len(table) < 2:
             return None
         table = table.combine_chunks()
-        cell, one, two, sides, reps, copies = (table[n].to_numpy() for n in names)
+        _, cell, one, two, sides, reps, copies = (table[n].to_numpy() for n in names)
         both = bool(one[0] != two[0])
         if both and sides.min() == sides.max():
             return None
@@ -222,7 +226,10 @@ def _found(members: DataFrame, lattice: Lattice, cosine: float) -> DataFrame:
         return cell[0], both, sides[some], reps[some], copies[some], unit[some]
 
     def told(waiting: list[tuple]) -> pa.RecordBatch:
-        cells = lattice.cells(np.concatenate([w[-1] for w in waiting]))
+        """Of block pairs of vectors of one length."""
+        vectors = np.concatenate([w[-1] for w in waiting])
+        lattice = Lattice(vectors.shape[1], tables=tables, probes=probes)
+        cells = lattice.cells(vectors)
         columns, at = ([], [], []), 0
         for cell, two, sides, reps, copies, unit in waiting:
             own, at = cells[at : at + len(reps)], at + len(reps)
@@ -231,13 +238,17 @@ def _found(members: DataFrame, lattice: Lattice, cosine: float) -> DataFrame:
             for column, values in zip(columns, (reps, counts, reps[least]), strict=True):
                 column.append(values[shown])
         arrays = [pa.array(np.concatenate(c)) for c in columns]
-        return pa.RecordBatch.from_arrays(arrays, names=["rep", "links", "least"])
+        size = pa.array(np.full(len(arrays[0]), lattice.size, np.int32))
+        return pa.RecordBatch.from_arrays([size, *arrays], names=["size", "rep", "links", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
         rows = 0
         for table in groups(batches):
             if found := linked(table):
+                if waiting and waiting[-1][-1].shape[1] != found[-1].shape[1]:
+                    yield told(waiting)
+                    waiting, rows = [], 0
                 waiting.append(found)
                 rows += len(found[-1])
             if rows >= 2000:
@@ -246,9 +257,9 @@ def _found(members: DataFrame, lattice: Lattice, cosine: float) -> DataFrame:
         if waiting:
             yield told(waiting)
 
-    dealt = members.select(*names, "vector").repartition("cell", "one", "two")
-    dealt = dealt.sortWithinPartitions("cell", "one", "two", "side", "rep")
-    return dealt.mapInArrow(run, "rep long, links long, least long")
+    dealt = members.select(*names, "vector").repartition(*keys)
+    dealt = dealt.sortWithinPartitions(*keys, "side", "rep")
+    return dealt.mapInArrow(run, "size int, rep long, links long, least long")
 
 
 def linked_embeddings(
@@ -261,31 +272,34 @@ def linked_embeddings(
     probes: int = 3,
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row."""
-    rows, size = _usable(embeddings, vector_col, id_col)
+    rows = _usable(embeddings, vector_col, id_col)
     classes = rows.where("good").groupBy("vector").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies")
     )
     # Two classes of one id would be one node of the links' graph; ids name vectors.
-    classes = stored(classes.select("rep", "vector", "copies"), "vector-classes")
-    lattice = Lattice(size, tables=tables, probes=probes)
-    meeting = stored(_memberships(classes, lattice), "memberships").distinct()
+    size = F.size("vector").alias("size")
+    classes = stored(classes.select(size, "rep", "vector", "copies"), "vector-classes")
+    meeting = stored(_memberships(classes, tables, probes), "memberships").distinct()
     parts = F.ceil(F.count("*") / block_rows).cast("int").alias("parts")
-    shared = meeting.groupBy("cell").agg(F.count("*").alias("members"), parts).where("members > 1")
+    shared = meeting.groupBy("size", "cell").agg(F.count("*").alias("members"), parts)
+    shared = shared.where("members > 1")
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part")
-    members = meeting.join(shared.drop("members"), "cell").select("*", part)
+    members = meeting.join(shared.drop("members"), ["size", "cell"]).select("*", part)
     # Each part with itself and with every other part of its cell.
     members = members.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).select(
+        "size",
         "cell",
         F.least("part", "other").alias("one"),
         F.greatest("part", "other").alias("two"),
         (F.col("part") > F.col("other")).cast("int").alias("side"),
         "rep",
     )
-    found = stored(_found(members.join(classes, "rep"), lattice, cosine), "found")
+    members = members.join(classes, ["size", "rep"])
+    found = stored(_found(members, tables, probes, cosine), "found")
     component = components(found, "rep", "least").toDF("rep", "component")
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    counts = found.groupBy("size", "rep").agg(F.sum("links").alias("links"))
     told = (
-        classes.join(counts, "rep", "left")
+        classes.join(counts, ["size", "rep"], "left")
         .join(component, "rep", "left")
         .select(
             "vector",

@@ -192,6 +192,26 @@ def test_links_within_one_block_of_a_cell_count_once(spark):
     assert got == dict(enumerate(degree.tolist()))
 
 
+def test_vectors_of_each_length_link_among_themselves(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for size, count in [(16, 40), (24, 30), (3, 6), (1, 2)]:
+        x = rng.standard_normal((count // 2, size)) if size > 3 else np.eye(size)
+        for v in x:
+            rows += [v.tolist(), (v * (1 + 0.01 * rng.standard_normal(size))).tolist()]
+    # Beginning like another vector is no link, nor is an id that rows of two lengths share.
+    rows.append([*rows[0], *[0.0] * 8])
+    vectors = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(rows)] + [(2, rows[40])], "vec_id long, embedding array<double>"
+    )
+    got = sorted(map(tuple, linked_embeddings(vectors).collect()))
+    want = [(i, 1 + (i in (40, 41)), i - i % 2, i % 2 == 0) for i in range(len(rows) - 1)]
+    want[2] = (2, 1, 2, True)
+    want[40], want[41] = (40, 2, 2, False), (41, 2, 2, False)
+    last = len(rows) - 1
+    assert got == sorted([*want, (2, 2, 2, True), (last, 0, last, True)])
+
+
 def test_equal_vectors_count_each_other(spark):
     rows = [(3, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [2.0, 4.0]), (9, [-1.0, 2.0]), (9, [-1.0, 2.0])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
