@@ -21,8 +21,8 @@ in the rest. These join in the same way, without the pivots, until none is left.
 Texts with equal sets are one class throughout. Sets are compared by 64-bit hashes of
 their shingles. A text of fewer words than a shingle is one shingle; null texts and those
 without words have an empty set and link with nothing. Rows of equal id count as one
-document. A null id is never a component's name unless no other is there. An empty table
-gives no rows. Other columns of the input are ignored.
+document. A text without an id takes part in links like any other; a null id is never a
+component's name unless no other is there. An empty table gives no rows. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -155,6 +155,22 @@ def _meeting(found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return stored(kept.select("cell", "name", "size"), "cells")
 
 
+def _texts_without_id(documents: DataFrame, words: int) -> DataFrame:
+    """name and one text of each set that documents without an id have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sets in shingle_sets(batch.column(0), words):
+                texts = batch.column(0).slice(sets.first, sets.last - sets.first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sets.names.view(np.int64)), texts], names=["name", "text"]
+                )
+
+    texts = documents.where("doc_id is null").select("text").distinct()
+    named = texts.mapInArrow(run, "name long, text string")
+    return named.groupBy("name").agg(F.min("text").alias("text"))
+
+
 def class_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """name and atoms of the wanted classes, from the text of one document of each."""
 
@@ -172,7 +188,10 @@ def class_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame
 
     chosen = wanted.select(F.col("rep").alias("doc_id"), "name")
     texts = documents.join(chosen, "doc_id").dropDuplicates(["doc_id", "name", "text"])
-    return texts.select("text", "name").mapInArrow(run, "name long, atoms binary")
+    # A class of which no document has an id is found by its name.
+    unnamed = _texts_without_id(documents, words).join(chosen.where("doc_id is null"), "name")
+    texts = texts.select("text", "name").union(unnamed.select("text", "name"))
+    return texts.mapInArrow(run, "name long, atoms binary")
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -95,6 +95,18 @@ def test_jaccard_join_of_odd_rows(spark):
     assert got == sorted(map(str, [*named, alone]))
 
 
+def test_texts_without_an_id_take_part_in_links(spark):
+    w = [f"w{i}" for i in range(60)]
+    rows = [(7, " ".join(w[8:])), (None, " ".join(w)), (None, " ".join(w).upper()), (3, " ".join(w[:52]))]
+    got = jaccard_join.near_duplicates(documents(spark, rows)).collect()
+    # Those with an id link only with the text without one.
+    assert sorted(map(str, map(tuple, got))) == sorted(
+        map(str, [(7, 48, 3), (None, 56, 3), (None, 56, 3), (3, 48, 3)])
+    )
+    got = jaccard_join.near_duplicates(documents(spark, rows[::3])).collect()
+    assert sorted(map(tuple, got)) == [(3, 48, 3), (7, 48, 7)]
+
+
 def test_jaccard_join_of_no_rows(spark):
     assert jaccard_join.near_duplicates(documents(spark, [])).count() == 0
     got = jaccard_join.near_duplicates(documents(spark, [(1, None), (2, "")])).collect()
