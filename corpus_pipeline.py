@@ -3,8 +3,9 @@
 Quality and toxicity drop the documents that their classifiers reject, the join keeps the
 smallest id of each group of near duplicates, and packing lays the rest out in sequences.
 Each stage works on all documents that the one before it kept; null texts count as empty
-and pass as the classifiers decide. The join keeps rows without an id, and one row of
-those that share an id. Empty tables pass through. The stages keep the columns of
+and pass as the classifiers decide. The join goes by texts alone: rows that share an id, or
+have none, are kept or dropped as their texts are alike, and of a group rows with an id come
+first. Texts without words are like no other. Empty tables pass through. The stages keep the columns of
 documents; the last returns the packed pieces.
 """
 
@@ -40,16 +41,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id."""
+    """One row of each group of near duplicates, that of the smallest id."""
     ship_modules(spark)
-    found = near_duplicates(docs)
-    first = F.col("doc_id") == F.col("component_id")
-    kept = found.where(first & (F.col("n_shingles") > 0)).select("doc_id").distinct()
-    alone = found.where((F.col("n_shingles") == 0) | F.col("doc_id").isNull())
-    # Repeated rows of one id are one document; the join has put them side by side.
-    ids = kept.union(alone.select("doc_id").where("doc_id is not null")).distinct()
-    named = docs.join(ids, "doc_id").dropDuplicates(["doc_id"]).select(docs.columns)
-    return named.union(docs.where("doc_id is null"))
+    # Rows go by numbers of their own; an id may be missing, or that of several texts.
+    row = "row_number_" + "_" * max(map(len, docs.columns))
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    known = rows.select(row, F.col("doc_id").cast("long").alias("id")).join(found, row)
+    order = F.struct(F.col("id").isNull(), "id", row)
+    first = known.groupBy("component_id").agg(F.min(order)[row].alias(row))
+    return rows.join(first, row, "left_semi").drop(row)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

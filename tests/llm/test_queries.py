@@ -57,3 +57,13 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
     kept = stage(spark, documents(spark, odd_rows()), SF_DIR).select("doc_id").collect()
     assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(i) for i in (0, 1, 2, 3, 4, 6, 7, None))
+
+
+def test_near_duplicate_stage_goes_by_texts(spark):
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    one, two, three = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
+    rows = [(9, one), (5, one.upper()), (5, two), (None, two), (None, three), (None, three), (5, None), (5, "")]
+    kept = stage(spark, documents(spark, rows), SF_DIR)
+    assert kept.columns == ["doc_id", "text", *CLASHING]
+    want = [(5, one.upper()), (5, two), (None, three), (5, None), (5, "")]
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect()) == sorted(map(str, want))
