@@ -1,6 +1,9 @@
 """SentencePiece encoding and decoding by a unigram model over a double-array trie.
 
-The pieces and their log scores come from a model file. Text is normalised as the file
+The pieces and their log scores come from a model file. The only one given,
+piece_bpe_32k.model, is a BPE file: its scores are ranks of merges, which are summed here
+as if they were log scores, so that ids are mostly not those that the library finds for
+that file; they decode to the same text. Text is normalised as the file
 says for this model: a space in front, then each space as the marker U+2581. Viterbi
 search finds the pieces of the largest total score; a character that is in no piece
 costs more than any piece and becomes the byte pieces of its UTF-8 form. No piece holds a
