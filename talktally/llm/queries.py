@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talktally.llm import quality, toxicity
+from talktally.llm.decontamination import contaminated
 from talktally.llm.embedding_dedup import linked_embeddings
 from talktally.llm.fingerprints import document_fingerprints
 from talktally.llm.frames import read_table, ship_modules
@@ -84,6 +85,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(*(read_table(spark, sf_dir, name) for name in ("documents", "benchmark")))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         query.__name__: _shipped(query)
@@ -98,5 +103,6 @@ def all_queries() -> dict[str, Query]:
             op8_best_fit_packing,
             op9_token_counts,
             op10_jaccard_join,
+            op13_winnowing,
         )
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 # Components of a relation links(a, b) over a relation nodes(id): the smallest id reachable.
@@ -79,10 +80,48 @@ SELECT id AS vec_id, component_id, id = component_id AS kept,
 FROM comp
 """
 
+WINNOWING = f"""
+WITH items AS (
+    SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '{_WORD}') AS w
+    FROM benchmark WHERE item_id IS NOT NULL
+),
+known AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS g
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM items WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM known),
+docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w
+    FROM documents
+),
+places AS (
+    SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+    FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n)
+),
+met AS (SELECT r, n, i, g FROM places SEMI JOIN (SELECT DISTINCT n, g FROM known) USING (n, g)),
+hit AS (
+    SELECT r, count(DISTINCT p) AS n_hit
+    FROM (SELECT r, unnest(range(i, i + n)) AS p FROM met) GROUP BY r
+),
+held AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (
+        SELECT DISTINCT r, item_id::VARCHAR AS item
+        FROM (SELECT DISTINCT r, n, g FROM met) JOIN known USING (n, g)
+    ) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN held USING (r)
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
         "op2_warc_index_merge": WARC_INDEX,
         "op7_lattice_dedup": LATTICE_DEDUP,
         "op10_jaccard_join": JACCARD_JOIN,
+        "op13_winnowing": WINNOWING,
     }

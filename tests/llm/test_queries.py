@@ -22,6 +22,7 @@ CONTRACT = {
     "op8": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9": "doc_id n_bytes n_tokens over_limit",
     "op10": "doc_id n_shingles component_id",
+    "op13": "doc_id n_words n_hit n_items items_sha256 contaminated",
 }
 NAMES = queries.all_queries()
 
