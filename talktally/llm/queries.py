@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talktally.llm import quality, toxicity
+from talktally.llm.collocations import collocations
 from talktally.llm.decontamination import contaminated
 from talktally.llm.embedding_dedup import linked_embeddings
 from talktally.llm.fingerprints import document_fingerprints
 from talktally.llm.frames import read_table, ship_modules
+from talktally.llm.hard_negatives import hard_negatives
 from talktally.llm.jaccard_join import near_duplicates
 from talktally.llm.licences import licence_scan
 from talktally.llm.packing import packed, pieces
@@ -85,6 +87,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(*(read_table(spark, sf_dir, name) for name in ("documents", "benchmark")))
 
@@ -103,6 +113,8 @@ def all_queries() -> dict[str, Query]:
             op8_best_fit_packing,
             op9_token_counts,
             op10_jaccard_join,
+            op11_hard_negatives,
+            op12_son_collocations,
             op13_winnowing,
         )
     }

@@ -117,11 +117,80 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN held USING (r)
 """
 
+HARD_NEGATIVES = """
+WITH rows_ AS (
+    SELECT row_number() OVER () AS r, vec_id,
+        (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+),
+scored AS (
+    SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same,
+        coalesce(list_dot_product(a.e, b.e), 0)::BIGINT AS s
+    FROM rows_ AS a JOIN rows_ AS b
+        ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.e) = len(b.e)
+),
+best AS (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY s DESC, vec_id, other)::INTEGER AS rank
+    FROM scored WHERE same QUALIFY rank <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.s AS positive_score,
+    n.s AS negative_score, p.rank AS positive_rank,
+    row_number() OVER (PARTITION BY p.r, p.other ORDER BY n.s DESC, n.vec_id)::INTEGER AS rank
+FROM best AS p JOIN scored AS n
+    ON p.r = n.r AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s
+QUALIFY row_number() OVER (PARTITION BY p.r, p.other ORDER BY n.s DESC, n.vec_id) <= 3
+"""
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+    FROM (
+        SELECT lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")},
+            '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents
+    )
+),
+grams AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM pieces, range(1, 5) AS sizes(size) WHERE len(w) >= size)
+),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (
+    SELECT c.lang, c.size, c.phrase, c.f AS a, k, x.f AS l, y.f AS r,
+        (2000000::HUGEINT * c.f // (x.f + y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM cand) AS c
+    JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(w[:k], ' ')
+    JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+),
+inside AS (
+    SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(f) AS most
+    FROM (SELECT *, unnest(range(1, size - part + 2)) AS i
+        FROM (SELECT *, unnest(range(2, size)) AS part FROM cand))
+    GROUP BY ALL
+),
+ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+        phrase, a, l, r, score
+    FROM cuts LEFT JOIN inside USING (lang, phrase)
+    WHERE coalesce(100::HUGEINT * most < 80::HUGEINT * a, true)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
         "op2_warc_index_merge": WARC_INDEX,
         "op7_lattice_dedup": LATTICE_DEDUP,
         "op10_jaccard_join": JACCARD_JOIN,
+        "op11_hard_negatives": HARD_NEGATIVES,
+        "op12_son_collocations": COLLOCATIONS,
         "op13_winnowing": WINNOWING,
     }

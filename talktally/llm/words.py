@@ -61,7 +61,7 @@ class Words:
     hashes: np.ndarray
 
 
-def _hashes(folded: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+def word_hashes(folded: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
     size = 1 << max(int(len(folded)) - 1, BLOCK - 1).bit_length()
@@ -71,7 +71,7 @@ def _hashes(folded: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.nda
     return mix((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
 
 
-def _bounds(folded: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(folded: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = folded != 0
     change = np.empty(len(folded) + 1, bool)
     change[0], change[-1] = inside[:1].any(), inside[-1:].any()
@@ -86,7 +86,7 @@ def _bounds(folded: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, stops
 
 
-def _segments(folded: np.ndarray) -> Iterator[tuple[int, int]]:
+def segments(folded: np.ndarray) -> Iterator[tuple[int, int]]:
     """A very long text in parts that end at a separator."""
     start = 0
     while start < len(folded):
@@ -106,15 +106,15 @@ def words_of(data: np.ndarray, ends: np.ndarray, table: np.ndarray) -> Iterator[
             breaks = ends[first : last + 1] - ends[first]
             if len(folded) > BLOCK:
                 parts = [
-                    _hashes(folded[a:b], *_bounds(folded[a:b], np.zeros(0, np.int64)))
-                    for a, b in _segments(folded)
+                    word_hashes(folded[a:b], *word_bounds(folded[a:b], np.zeros(0, np.int64)))
+                    for a, b in segments(folded)
                 ]
                 hashes = np.concatenate(parts)
                 yield Words(first, last, np.zeros(len(hashes), np.int64), hashes)
                 continue
-            starts, stops = _bounds(folded, breaks)
+            starts, stops = word_bounds(folded, breaks)
             row = np.searchsorted(breaks, starts, side="right") - 1
-            yield Words(first, last, row, _hashes(folded, starts, stops))
+            yield Words(first, last, row, word_hashes(folded, starts, stops))
 
 
 def n_grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -22,6 +22,8 @@ CONTRACT = {
     "op8": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9": "doc_id n_bytes n_tokens over_limit",
     "op10": "doc_id n_shingles component_id",
+    "op11": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op12": "lang rank phrase a l r n score",
     "op13": "doc_id n_words n_hit n_items items_sha256 contaminated",
 }
 NAMES = queries.all_queries()
@@ -32,6 +34,9 @@ def test_query_has_its_columns_and_all_rows(spark, name):
     found = NAMES[name](spark, SF_DIR)
     op = name.split("_")[0]
     assert set(CONTRACT[op].split()) <= set(found.columns)
+    if op in ("op11", "op12"):  # these do not return a row for each row
+        assert found.count() > 0
+        return
     key = found.columns[0] if op != "op2" else "page_id"
     table = {"op2": "pages", "op7": "embeddings"}.get(op, "documents")
     assert found.select(key).distinct().count() == read_table(spark, SF_DIR, table).count()
