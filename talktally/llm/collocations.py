@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talktally.llm.frames import stored, utf8
+from talktally.llm.frames import stored, trimmed, utf8
 from talktally.llm.mining_words import LONGEST, phrases_of, texts_of, word_blocks
 
 SUPPORT = 30
@@ -56,27 +56,21 @@ class Mining:
 def dealt(
     documents: DataFrame, mining: Mining, id_col: str, text_col: str, lang_col: str, unnamed: str
 ) -> DataFrame:
-    """text, lang and shard of each row."""
+    """text, lang and shard of each row, and their hashes: slot, and of the language alone whole."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(unnamed)).alias("lang")
-    shard = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(mining.shards))
-    return documents.select(text, lang, shard.cast("int").alias("shard"))
-
-
-SLOT = ("lang", "shard")  # whose hash tells a shard's phrases from those of others
-
-
-def _with_slot(rows: DataFrame, of: tuple[str, ...]) -> DataFrame:
-    return rows.withColumn("slot", F.xxhash64(*of))
+    shard = F.pmod(F.xxhash64(id_col), F.lit(mining.shards)).cast("int").alias("shard")
+    rows = documents.select(text, lang, shard)
+    return rows.withColumns({"slot": F.xxhash64("lang", "shard"), "whole": F.xxhash64("lang")})
 
 
 def _bits(hashes: np.ndarray, of: np.ndarray | np.int64, filter_bits: int) -> np.ndarray:
     return (hashes.view(np.int64) ^ of) & ((1 << filter_bits) - 1)
 
 
-def _bit(of: tuple[str, ...], filter_bits: int) -> Column:
+def _bit(of: str, filter_bits: int) -> Column:
     """The same in SQL."""
-    bit = F.col("hash").bitwiseXOR(F.xxhash64(*of)).bitwiseAND(F.lit((1 << filter_bits) - 1))
+    bit = F.col("hash").bitwiseXOR(F.col(of)).bitwiseAND(F.lit((1 << filter_bits) - 1))
     return bit.alias("bit")
 
 
@@ -124,7 +118,7 @@ def filter_of(bits: DataFrame, filter_bits: int) -> bytes:
 
 
 def _local_counts(rows: DataFrame, lengths: range, known: bytes | None, mining: Mining) -> DataFrame:
-    """lang, shard, hash and n of the phrases of those lengths in each shard.
+    """slot, hash and n of the phrases of those lengths in each shard.
 
     Of two words and more only those whose words, or pairs, the filter holds for the shard.
     """
@@ -133,89 +127,86 @@ def _local_counts(rows: DataFrame, lengths: range, known: bytes | None, mining:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared and Filter(shared.value, mining.filter_bits)
         for batch in batches:
-            for of, texts in texts_of(batch, "slot"):
-                first = batch.slice(of, 1)
-                slot = np.int64(first["slot"][0].as_py())
+            for slot, texts in texts_of(batch, "slot"):
                 part = 1 if min(lengths) < 3 else 2
                 hashes = []
                 for block in word_blocks(*utf8(texts)):
                     fits = held and held.has(block.hashes(part), slot)
                     hashes += [phrases_of(block, n, fits, part).hashes for n in lengths]
                 found, counts = np.unique(np.concatenate(hashes), return_counts=True)
-                given = [pa.repeat(first[name][0], len(found)) for name in SLOT]
-                arrays = [*given, pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*SLOT, "hash", "n"])
+                columns = [np.full(len(found), slot), found.view(np.int64), counts.astype(np.int64)]
+                arrays = [pa.array(c) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, names=["slot", "hash", "n"])
 
-    found = _with_slot(rows, SLOT).mapInArrow(run, "lang string, shard int, hash long, n long")
-    return found.groupBy(*SLOT, "hash").agg(F.sum("n").alias("n"))
+    found = rows.select("text", "slot").mapInArrow(trimmed(run), "slot long, hash long, n long")
+    return found.groupBy("slot", "hash").agg(F.sum("n").alias("n"))
 
 
-def supports(words: DataFrame, support: int) -> DataFrame:
-    """lang, shard and least: the support in proportion to the shard's part of the words."""
-    each = words.groupBy("lang", "shard").agg(F.sum("n").alias("own"))
-    each = each.withColumn("whole", F.sum("own").over(Window.partitionBy("lang")))
-    # The least whole number that is not below support * own / whole.
-    return each.select("lang", "shard", F.expr(f"(own * {support} + whole - 1) div whole").alias("least"))
+def supports(words: DataFrame, shards: DataFrame, support: int) -> DataFrame:
+    """slot, whole, lang, n (the language's words) and least.
+
+    least is the support in proportion to the shard's part of the words, rounded up.
+    """
+    each = words.groupBy("slot").agg(F.sum("n").alias("own")).join(shards, "slot")
+    each = each.withColumn("n", F.sum("own").over(Window.partitionBy("lang")))
+    least = F.expr(f"(own * {support} + n - 1) div n").alias("least")
+    return each.select("slot", "whole", "lang", "n", least)
 
 
-def candidates(rows: DataFrame, words: DataFrame, mining: Mining) -> bytes:
+def candidates(rows: DataFrame, words: DataFrame, least: DataFrame, mining: Mining) -> bytes:
     """A filter of all phrases, by language, that are frequent in any shard; words has their counts."""
-    least = stored(supports(words, mining.support), "shard-supports")
     counts, union = words, []
     for lengths in (range(1, 2), range(2, 3), range(3, LONGEST + 1)):
         if union:
             counts = _local_counts(rows, lengths, known, mining)
-        kept = counts.join(least, ["lang", "shard"]).where("n >= least")
-        kept = stored(kept.select(*SLOT, "hash"), "shard-frequent")
-        union.append(kept.select(_bit(("lang",), mining.filter_bits)))
+        kept = counts.join(least.select("slot", "whole", "least"), "slot").where("n >= least")
+        kept = stored(kept.select("slot", "whole", "hash"), "shard-frequent")
+        union.append(kept.select(_bit("whole", mining.filter_bits)))
         if lengths[-1] < LONGEST:
-            known = filter_of(kept.select(_bit(SLOT, mining.filter_bits)), mining.filter_bits)
+            known = filter_of(kept.select(_bit("slot", mining.filter_bits)), mining.filter_bits)
     return filter_of(reduce(DataFrame.union, union), mining.filter_bits)
 
 
 def _counted(rows: DataFrame, known: bytes, mining: Mining) -> DataFrame:
-    """lang, phrase, size and n of all phrases in the filter, over all documents."""
+    """whole, phrase and n of all phrases in the filter, over all documents."""
     shared = rows.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Filter(shared.value, mining.filter_bits)
         for batch in batches:
-            for of, texts in texts_of(batch, "slot"):
-                first = batch.slice(of, 1)
-                slot = np.int64(first["slot"][0].as_py())
+            for whole, texts in texts_of(batch, "whole"):
                 for block in word_blocks(*utf8(texts)):
                     for size in range(1, LONGEST + 1):
                         found = phrases_of(block, size)
-                        found = found.where(held.has(found.hashes, slot))
+                        found = found.where(held.has(found.hashes, whole))
                         one, counts = found.distinct()
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.repeat(first["lang"][0], len(counts)),
+                                pa.array(np.full(len(counts), whole)),
                                 one.texts(block),
-                                pa.array(np.full(len(counts), size, np.int32)),
                                 pa.array(counts.astype(np.int64)),
                             ],
-                            names=["lang", "phrase", "size", "n"],
+                            names=["whole", "phrase", "n"],
                         )
 
-    found = _with_slot(rows, ("lang",)).mapInArrow(
-        run, "lang string, phrase string, size int, n long"
-    )
-    counted = found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    schema = "whole long, phrase string, n long"
+    found = rows.select("text", "whole").mapInArrow(trimmed(run), schema)
+    counted = found.groupBy("whole", "phrase").agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= mining.support)
 
 
 def _cut(part: str) -> Column:
     """The first k words of a phrase, or the rest."""
-    words = F.split("phrase", " ")
+    parts = F.split("phrase", " ")
     start, length = (F.lit(1), F.col("k")) if part == "first" else (F.col("k") + 1, F.col("size"))
-    return F.array_join(F.slice(words, start, length), " ")
+    return F.array_join(F.slice(parts, start, length), " ")
 
 
 def _scored(counted: DataFrame) -> DataFrame:
     """Each candidate at its cut of the lowest score, with a, l, r and score."""
     known = counted.select("lang", F.col("phrase").alias("part"), F.col("n").alias("found"))
-    cuts = counted.where("size > 1").withColumnRenamed("n", "a")
+    cuts = counted.withColumn("size", F.size(F.split("phrase", " "))).withColumnRenamed("n", "a")
+    cuts = cuts.where("size > 1")
     cuts = cuts.withColumn("k", F.explode(F.expr("sequence(1, size - 1)")))
     cuts = cuts.withColumns({"first": _cut("first"), "rest": _cut("rest")})
     for part, name in (("first", "l"), ("rest", "r")):
@@ -225,8 +216,8 @@ def _scored(counted: DataFrame) -> DataFrame:
     score = F.expr(f"cast(a as decimal(38,0)) * {SCALE} div (cast(l as decimal(38,0)) + r)")
     cuts = cuts.withColumn("score", score)
     lowest = F.min(F.struct("score", "k", "l", "r")).alias("low")
-    return cuts.groupBy("lang", "phrase", "size", "a").agg(lowest).select(
-        "lang", "phrase", "size", "a", "low.l", "low.r", "low.score"
+    return cuts.groupBy("lang", "words", "phrase", "size", "a").agg(lowest).select(
+        "lang", "words", "phrase", "size", "a", "low.l", "low.r", "low.score"
     )
 
 
@@ -235,12 +226,12 @@ def _unsubsumed(scored: DataFrame, percent: int) -> DataFrame:
     longer = scored.where("size > 2").select(
         "lang",
         "a",
-        F.split("phrase", " ").alias("words"),
+        F.split("phrase", " ").alias("parts"),
         "size",
         F.explode(F.expr("sequence(2, size - 1)")).alias("part"),
     )
     longer = longer.withColumn("at", F.explode(F.expr("sequence(1, size - part + 1)")))
-    inside = F.array_join(F.slice("words", F.col("at"), F.col("part")), " ").alias("phrase")
+    inside = F.array_join(F.slice("parts", F.col("at"), F.col("part")), " ").alias("phrase")
     most = longer.groupBy("lang", inside).agg(F.max("a").alias("most"))
     wide = [F.col(c).cast("decimal(38,0)") for c in ("most", "a")]
     subsumed = F.coalesce(wide[0] * 100 >= wide[1] * percent, F.lit(False))
@@ -260,13 +251,17 @@ def collocations(
     """lang, rank, phrase, a, l, r, n and score: each language's first phrases by score."""
     mining = mining or Mining()
     rows = dealt(documents, mining, id_col, text_col, lang_col, unnamed)
+    shards = rows.select("slot", "whole", "lang").distinct()
     words = stored(_local_counts(rows, range(1, 2), None, mining), "shard-words")
-    counted = stored(_counted(rows, candidates(rows, words, mining), mining), "phrases")
+    least = stored(supports(words, shards, mining.support), "shard-supports")
+    counted = _counted(rows, candidates(rows, words, least, mining), mining)
+    langs = least.select("whole", "lang", F.col("n").alias("words")).distinct()
+    counted = stored(counted.join(langs, "whole").drop("whole"), "phrases")
     scored = stored(_scored(counted), "scored")
     left = _unsubsumed(scored, subsumed)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    return ranked.join(totals, "lang").select(
-        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
+    n = F.col("words").alias("n")
+    return ranked.select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", n, "score"
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +64,26 @@ def ship_modules(spark: SparkSession) -> None:
     context._talktally_shipped = True
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def trimmed(run: Run) -> Run:
+    """The function of a task, after which its worker gives freed memory back to the machine.
+
+    Spark reuses workers, and what one stage has freed would stay beside what the next needs.
+    """
+
+    @wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column, and the n + 1 places where its rows begin and end."""
     column = column.cast(pa.large_string()).fill_null("")

@@ -127,10 +127,10 @@ def phrases_of(block: Block, size: int, fits: np.ndarray | None = None, part: in
     return Phrases(size, at, hashes[at])
 
 
-def texts_of(batch: pa.RecordBatch, key: str) -> Iterator[tuple[int, pa.Array]]:
-    """The texts of a batch's rows of each key, with the number of one of those rows."""
+def texts_of(batch: pa.RecordBatch, key: str) -> Iterator[tuple[np.int64, pa.Array]]:
+    """Each key of a batch's rows and their texts."""
     keys = batch[key].to_numpy()
     order = np.argsort(keys, kind="stable")
     cuts = np.flatnonzero(np.diff(keys[order])) + 1
     for rows in np.split(order, cuts) if len(order) else []:
-        yield int(rows[0]), batch["text"].take(pa.array(rows))
+        yield keys[rows[0]], batch["text"].take(pa.array(rows))

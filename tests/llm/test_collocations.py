@@ -119,9 +119,10 @@ def test_supports_keep_every_frequent_phrase(spark):
     """Counts one below each shard's support never add up to the support."""
     rng = random.Random(6)
     rows = [(lang, s, rng.randrange(1, 10**6)) for lang in "abcdef" for s in range(rng.randrange(1, 9))]
-    words = spark.createDataFrame(rows, "lang string, shard int, n long")
+    slots = [(i, lang, lang, n) for i, (lang, _, n) in enumerate(rows)]
+    words = spark.createDataFrame(slots, "slot long, whole string, lang string, n long")
     least = Counter()
-    for r in collocations.supports(words, 30).collect():
+    for r in collocations.supports(words.select("slot", "n"), words.drop("n"), 30).collect():
         assert r["least"] >= 1
         least[r["lang"]] += r["least"] - 1
     assert set(least) <= set("abcdef") and max(least.values()) < 30
