@@ -11,9 +11,9 @@ Shards are a unit of the method and not of the work, which Spark spreads over ta
 number: a shard's counts are sums over all tasks that read a part of it. A support of 30 can
 be lowered to few shards only; in more than 30 any phrase that occurs would be frequent.
 
-While mining, phrases go by 64-bit hashes, and what is frequent by bits of a filter of fixed
-size, which alone is broadcast. Hashes and bits that fall together only let more candidates
-pass, never fewer, and the final counts tell them apart.
+While mining, phrases go by 64-bit hashes, and what is frequent by the bits of a filter, which
+alone is broadcast and has a stated size at most. Hashes and bits that fall together only let
+more candidates pass, never fewer, and the final counts go by the phrases themselves.
 
 Words, pieces and phrases are as mining_words has them. A null text is empty and a null
 language the one named in the parameters. Rows without words add nothing; repeated rows and
@@ -37,11 +37,13 @@ from talktally.llm.mining_words import LONGEST, phrases_of, texts_of, word_block
 
 SUPPORT = 30
 SHARDS = 4
-FILTER_BITS = 27  # a filter has 2**27 bits, 16 MB
+EACH = 16  # bits of a filter for each phrase that it holds
+MOST_FILTER_BITS = 30  # a filter has 2**30 bits at most, 128 MB
 CHUNK_BITS = 18
 SCALE = 2_000_000
 SUBSUMED = 80  # percent
 TOP = 2000
+PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -50,7 +52,7 @@ class Mining:
 
     support: int = SUPPORT
     shards: int = SHARDS
-    filter_bits: int = FILTER_BITS
+    most_filter_bits: int = MOST_FILTER_BITS
 
 
 def dealt(
@@ -64,30 +66,29 @@ def dealt(
     return rows.withColumns({"slot": F.xxhash64("lang", "shard"), "whole": F.xxhash64("lang")})
 
 
-def _bits(hashes: np.ndarray, of: np.ndarray | np.int64, filter_bits: int) -> np.ndarray:
-    return (hashes.view(np.int64) ^ of) & ((1 << filter_bits) - 1)
-
+@dataclass(frozen=True)
+class Filter:
+    """A set of hashes of which one may be in by chance, but none is missing.
 
-def _bit(of: str, filter_bits: int) -> Column:
-    """The same in SQL."""
-    bit = F.col("hash").bitwiseXOR(F.col(of)).bitwiseAND(F.lit((1 << filter_bits) - 1))
-    return bit.alias("bit")
+    data has 2**bits bits; a hash, told apart by what it is `of`, has the number of one.
+    """
 
+    data: bytes
+    bits: int
 
-class Filter:
-    """Bits by number; a set of hashes of which one may be in by chance, but none is missing."""
+    def has(self, hashes: np.ndarray, of: np.int64) -> np.ndarray:
+        at = (hashes.view(np.int64) ^ of) & ((1 << self.bits) - 1)
+        held = np.frombuffer(self.data, np.uint8)[at >> 3]
+        return (held >> (at & 7).astype(np.uint8)) & 1 > 0
 
-    def __init__(self, data: bytes, filter_bits: int):
-        self._bytes, self._bits = np.frombuffer(data, np.uint8), filter_bits
 
-    def has(self, hashes: np.ndarray, of: np.ndarray | np.int64) -> np.ndarray:
-        at = _bits(hashes, of, self._bits)
-        return (self._bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+def filter_of(rows: DataFrame, of: str, most_bits: int) -> Filter:
+    """The filter of the hashes of a stored table; the driver takes its bits and no rows.
 
-
-def filter_of(bits: DataFrame, filter_bits: int) -> bytes:
-    """The bytes of a filter in which the bits are set; a driver's work is of that size only."""
-    chunk_bits = min(CHUNK_BITS, filter_bits)
+    With more rows than it has room for more hashes are in by chance.
+    """
+    bits = min(max((EACH * rows.count()).bit_length(), 8), most_bits)
+    chunk_bits = min(CHUNK_BITS, bits)
     names = ["chunk", "packed"]
 
     def told(chunk: int, own: np.ndarray) -> pa.RecordBatch:
@@ -108,16 +109,17 @@ def filter_of(bits: DataFrame, filter_bits: int) -> bytes:
         if now is not None:
             yield told(now, own)
 
-    rows = bits.select(F.shiftright("bit", chunk_bits).alias("chunk"), "bit").distinct()
-    dealt = rows.repartition("chunk").sortWithinPartitions("chunk")
-    data = bytearray(1 << (filter_bits - 3))
+    bit = F.col("hash").bitwiseXOR(F.col(of)).bitwiseAND(F.lit((1 << bits) - 1)).alias("bit")
+    dealt = rows.select(bit).distinct().select(F.shiftright("bit", chunk_bits).alias("chunk"), "bit")
+    dealt = dealt.repartition("chunk").sortWithinPartitions("chunk")
+    data = bytearray(1 << (bits - 3))
     each = 1 << (chunk_bits - 3)
     for row in dealt.mapInArrow(run, "chunk long, packed binary").collect():
         data[row["chunk"] * each : (row["chunk"] + 1) * each] = row["packed"]
-    return bytes(data)
+    return Filter(bytes(data), bits)
 
 
-def _local_counts(rows: DataFrame, lengths: range, known: bytes | None, mining: Mining) -> DataFrame:
+def _local_counts(rows: DataFrame, lengths: range, known: Filter | None) -> DataFrame:
     """slot, hash and n of the phrases of those lengths in each shard.
 
     Of two words and more only those whose words, or pairs, the filter holds for the shard.
@@ -125,7 +127,7 @@ def _local_counts(rows: DataFrame, lengths: range, known: bytes | None, mining:
     shared = None if known is None else rows.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared and Filter(shared.value, mining.filter_bits)
+        held = shared and shared.value
         for batch in batches:
             for slot, texts in texts_of(batch, "slot"):
                 part = 1 if min(lengths) < 3 else 2
@@ -153,26 +155,26 @@ def supports(words: DataFrame, shards: DataFrame, support: int) -> DataFrame:
     return each.select("slot", "whole", "lang", "n", least)
 
 
-def candidates(rows: DataFrame, words: DataFrame, least: DataFrame, mining: Mining) -> bytes:
+def candidates(rows: DataFrame, words: DataFrame, least: DataFrame, most_bits: int) -> Filter:
     """A filter of all phrases, by language, that are frequent in any shard; words has their counts."""
     counts, union = words, []
     for lengths in (range(1, 2), range(2, 3), range(3, LONGEST + 1)):
         if union:
-            counts = _local_counts(rows, lengths, known, mining)
+            counts = _local_counts(rows, lengths, known)
         kept = counts.join(least.select("slot", "whole", "least"), "slot").where("n >= least")
         kept = stored(kept.select("slot", "whole", "hash"), "shard-frequent")
-        union.append(kept.select(_bit("whole", mining.filter_bits)))
+        union.append(kept.select("whole", "hash"))
         if lengths[-1] < LONGEST:
-            known = filter_of(kept.select(_bit("slot", mining.filter_bits)), mining.filter_bits)
-    return filter_of(reduce(DataFrame.union, union), mining.filter_bits)
+            known = filter_of(kept, "slot", most_bits)
+    return filter_of(reduce(DataFrame.union, union), "whole", most_bits)
 
 
-def _counted(rows: DataFrame, known: bytes, mining: Mining) -> DataFrame:
+def _counted(rows: DataFrame, known: Filter, support: int) -> DataFrame:
     """whole, phrase and n of all phrases in the filter, over all documents."""
     shared = rows.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Filter(shared.value, mining.filter_bits)
+        held = shared.value
         for batch in batches:
             for whole, texts in texts_of(batch, "whole"):
                 for block in word_blocks(*utf8(texts)):
@@ -192,7 +194,7 @@ def _counted(rows: DataFrame, known: bytes, mining: Mining) -> DataFrame:
     schema = "whole long, phrase string, n long"
     found = rows.select("text", "whole").mapInArrow(trimmed(run), schema)
     counted = found.groupBy("whole", "phrase").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= mining.support)
+    return counted.where(F.col("n") >= support)
 
 
 def _cut(part: str) -> Column:
@@ -238,6 +240,11 @@ def _unsubsumed(scored: DataFrame, percent: int) -> DataFrame:
     return scored.join(most, ["lang", "phrase"], "left").where(~subsumed)
 
 
+def _ranked(rows: DataFrame, of: list[str], top: int) -> DataFrame:
+    order = Window.partitionBy(*of).orderBy(F.desc("score"), F.desc("a"), "phrase")
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+
 def collocations(
     documents: DataFrame,
     mining: Mining | None = None,
@@ -252,15 +259,16 @@ def collocations(
     mining = mining or Mining()
     rows = dealt(documents, mining, id_col, text_col, lang_col, unnamed)
     shards = rows.select("slot", "whole", "lang").distinct()
-    words = stored(_local_counts(rows, range(1, 2), None, mining), "shard-words")
+    words = stored(_local_counts(rows, range(1, 2), None), "shard-words")
     least = stored(supports(words, shards, mining.support), "shard-supports")
-    counted = _counted(rows, candidates(rows, words, least, mining), mining)
+    counted = _counted(rows, candidates(rows, words, least, mining.most_filter_bits), mining.support)
     langs = least.select("whole", "lang", F.col("n").alias("words")).distinct()
     counted = stored(counted.join(langs, "whole").drop("whole"), "phrases")
     scored = stored(_scored(counted), "scored")
     left = _unsubsumed(scored, subsumed)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # A language's first among its first in each of some parts, so that no task sorts it all.
+    left = left.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    ranked = _ranked(_ranked(left, ["lang", "part"], top), ["lang"], top)
     n = F.col("words").alias("n")
     return ranked.select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", n, "score"

@@ -32,8 +32,8 @@ SCALE = 256
 POSITIVES = 5
 NEGATIVES = 3
 BLOCK_NUMBERS = 1 << 19  # components of the rows in a block, 4 MB
-ANCHOR_NUMBERS = 1 << 16  # and of the anchors that meet them
-TILE = 1024  # rows scored at a time
+ANCHOR_NUMBERS = 1 << 19  # and of the anchors that meet them; like sizes shuffle least
+TILE = 1 << 20  # scores worked out at a time
 
 _LOW = -np.iinfo(np.int64).max  # can be negated
 
@@ -93,8 +93,9 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 def _tiles(anchors: pa.Table, rows: pa.Table) -> Iterator[tuple[np.ndarray, slice]]:
     """Scores of all anchors with each run of rows."""
     factor, vectors = Factor(_matrix(anchors["vector"])), _matrix(rows["vector"])
-    for start in range(0, len(rows), TILE):
-        run = slice(start, start + TILE)
+    step = max(TILE // len(anchors), 1)
+    for start in range(0, len(rows), step):
+        run = slice(start, start + step)
         yield products(factor, vectors[run]), run
 
 

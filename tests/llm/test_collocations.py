@@ -93,7 +93,7 @@ def test_phrases_are_those_of_a_plain_count(spark, shards):
 
 def test_a_full_filter_loses_nothing(spark):
     rows = corpus(2, 250)
-    assert found(spark, rows, mining=Mining(filter_bits=8)) == plain(rows)
+    assert found(spark, rows, mining=Mining(most_filter_bits=8)) == plain(rows)
 
 
 def test_other_supports_and_tops(spark):
@@ -150,9 +150,20 @@ def test_very_long_texts_come_in_parts(monkeypatch):
     assert got == want
 
 
-def test_filter_holds_what_was_set(spark):
-    bits = spark.range(0, 5000, 7).selectExpr("id as bit")
-    data = collocations.filter_of(bits.union(bits), 13)
-    held = collocations.Filter(data, 13)
-    has = held.has(np.arange(8192).astype(np.uint64), np.int64(0))
+@pytest.mark.parametrize("most_bits", [30, 13])
+def test_filter_holds_what_was_set(spark, most_bits):
+    rows = spark.range(0, 5000, 7).selectExpr("id as hash", "5L as of", "'x' as chunk")
+    held = collocations.filter_of(rows.union(rows), "of", most_bits)
+    assert held.bits == min(most_bits, 15)
+    has = held.has(np.arange(8192).astype(np.uint64), np.int64(5))
     assert np.flatnonzero(has).tolist() == list(range(0, 5000, 7))
+    assert collocations.filter_of(rows.limit(0), "of", most_bits).bits == 8
+
+
+def test_filters_of_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK_BITS", 6)
+    rows = spark.range(2000).selectExpr("xxhash64(id) as hash", "0L as of")
+    held = collocations.filter_of(rows, "of", 20)
+    hashes = np.array([r["hash"] for r in rows.collect()]).view(np.uint64)
+    assert held.has(hashes, np.int64(0)).all()
+    assert held.has(hashes + np.uint64(1), np.int64(0)).mean() < 0.15

@@ -89,7 +89,7 @@ def test_many_blocks_give_the_same(spark, monkeypatch):
     rows = vectors(2, 700) + [(1000 + i, 1, vectors(2, 1)[0][2]) for i in range(120)]
     monkeypatch.setattr(hard_negatives, "BLOCK_NUMBERS", 400)
     monkeypatch.setattr(hard_negatives, "ANCHOR_NUMBERS", 40)
-    monkeypatch.setattr(hard_negatives, "TILE", 16)
+    monkeypatch.setattr(hard_negatives, "TILE", 60)
     assert found(spark, rows) == plain(rows)
 
 
