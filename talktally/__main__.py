@@ -52,6 +52,8 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--gap-seconds", type=int)
     parser.add_argument("--keep-raw", action="store_true")
     parser.add_argument("--keep-archive", action="store_true")
+    parser.add_argument("--keep-reach", action="store_true", help="store sketches of users")
+    parser.add_argument("--compact-every", type=int, help="batches that are merged at a time")
     parser.add_argument("--publish", action="store_true", help="send documents to Kafka")
     parser.add_argument(
         "--publish-events", action="store_true", help="send raw lines and messages to Kafka, keyed"
@@ -116,6 +118,8 @@ def job_of(options: argparse.Namespace) -> BatchJob:
         gap_ms=None if gap is None else gap * 1000,
         keep_raw=options.keep_raw,
         keep_archive=options.keep_archive,
+        keep_reach=options.keep_reach,
+        compact_every=options.compact_every,
         ghost_col=options.ghost_col,
         parse_options={"any_key_case": options.any_key_case},
         document_sinks=tuple(targets),

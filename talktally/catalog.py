@@ -120,6 +120,43 @@ def stored_state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.metric_documents(tables, DAY_MS)
 
 
+def user_sketches_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily users by exact count, and whether those of stored 5-minute sketches are near.
+
+    The sketches come in four batches that split each window, and one of them twice.
+    """
+    home = scratch_folder(spark, "sketches")
+    rows = messages(spark, sf_dir)
+    for batch_id in (0, 1, 2, 3, 3):
+        part = op.user_sketches(rows.where(F.pmod("seq", F.lit(4)) == batch_id))
+        plans.write_user_sketches(part, home, DEFAULT_WINDOW_MS, batch_id)
+    sketches = plans.read_user_sketches(spark, home, DEFAULT_WINDOW_MS)
+    about = op.users_over(sketches, DEFAULT_WINDOW_MS, DAY_MS).withColumnRenamed("users", "about")
+    exact = op.user_counts(rows, DAY_MS)
+    near = F.abs(F.col("about") - F.col("users")) * 100 <= F.col("users") * 3
+    keys = ["projectId", "channel", "timeMark"]
+    same = [exact[k].eqNullSafe(about[k]) for k in keys]
+    joined = exact.join(about, same, "full_outer")
+    return joined.select(*[exact[k] for k in keys], "users", near.alias("near"))
+
+
+def compacted_state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily metrics of four batches, compacted twice; every fifth message is a batch late."""
+    home = scratch_folder(spark, "compacted")
+    late = F.col("seq") % 5 == 0
+    day = F.call_function("div", F.col("timestamp"), F.lit(6 * DAY_MS)).cast("int")
+    batched = messages(spark, sf_dir).withColumn("batch", F.pmod(day, F.lit(3)) + late.cast("int"))
+    settings = {"window_ms": DAY_MS, "gap_ms": HALF_HOUR_MS}
+    like = plans.build_state(batched, **settings)
+    store = plans.CompactedStore(f"{home}/live", f"{home}/compacted", like)
+    for batch_id in range(4):
+        part = batched.where(F.col("batch") == batch_id)
+        plans.write_state(plans.build_state(part, **settings), store.live, batch_id)
+        if batch_id in (1, 2):
+            store.compact(spark)
+    return plans.metric_documents(plans.metrics_of(store.read(spark)), DAY_MS)
+
+
 # Ingest and archives
 
 
@@ -342,12 +379,19 @@ def all_queries() -> dict[str, Query]:
         "open_sessions_last_age1h": _metric(
             op.open_sessions_last, window_ms=DAY_MS, max_age_ms=3_600_000
         ),
+        "user_counts": _metric(op.user_counts),
+        "user_counts_daily": _metric(op.user_counts, window_ms=DAY_MS),
+        "stream_final_user_counts": _final(op.user_counts, window_ms=DAY_MS),
+        "user_rollup": _metric(op.user_rollup),
+        "user_rollup_daily": _metric(op.user_rollup, window_ms=DAY_MS),
+        "user_sketches_daily": user_sketches_daily,
         "user_windows": user_windows_flat,
         "message_counts": _metric(op.message_counts, window_ms=DAY_MS),
         "session_slices": _metric(
             op.session_slices, window_ms=DAY_MS, gap_ms=HALF_HOUR_MS
         ),
         "stored_state_metrics": stored_state_metrics,
+        "compacted_state_metrics": compacted_state_metrics,
         "ingest_filter": ingest_filter,
         "ingest_quarantine": ingest_quarantine,
         "ingest_any_key_case": ingest_any_key_case,

@@ -1,4 +1,4 @@
-"""The eleven metrics. Each takes messages, a table or a watermarked stream."""
+"""The eleven metrics, and user counts. Each metric takes messages, a table or a watermarked stream."""
 
 from talktally.operators.counts import (
     intent_triggers,
@@ -8,6 +8,13 @@ from talktally.operators.counts import (
     message_counts,
     resp_type,
 )
+from talktally.operators.reach import (
+    merge_user_sketches,
+    user_counts,
+    user_rollup,
+    user_sketches,
+    users_over,
+)
 from talktally.operators.sessions import merge_session_slices, session_count, session_slices
 from talktally.operators.users import (
     distinct_users,
@@ -28,6 +35,7 @@ __all__ = [
     "journey_nodes",
     "merge_counts",
     "merge_session_slices",
+    "merge_user_sketches",
     "merge_user_windows",
     "message_count",
     "message_counts",
@@ -37,5 +45,9 @@ __all__ = [
     "session_count",
     "session_slices",
     "time_spent",
+    "user_counts",
+    "user_rollup",
+    "user_sketches",
     "user_windows",
+    "users_over",
 ]

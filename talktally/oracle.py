@@ -240,6 +240,22 @@ def _zoned(x: str) -> str:
     return _ZONED.replace("x", x).replace(f"conca{x}", "concat")
 
 
+def _user_counts(window: int) -> str:
+    return f"{_messages(window)} SELECT {K}, count(*) AS users FROM (SELECT DISTINCT {U} FROM m) GROUP BY {K}"
+
+
+def _user_rollup(window: int) -> str:
+    none = "CAST(NULL AS VARCHAR)"
+    return (
+        f"{_messages(window)} SELECT 'channel' AS level, {K}, count(*) AS users "
+        f"FROM (SELECT DISTINCT {U} FROM m) GROUP BY {K} UNION ALL "
+        f"SELECT 'project', projectId, {none}, timeMark, count(*) FROM "
+        "(SELECT DISTINCT projectId, timeMark, senderId FROM m) GROUP BY projectId, timeMark UNION ALL "
+        f"SELECT 'all', {none}, {none}, timeMark, count(*) FROM "
+        "(SELECT DISTINCT projectId, timeMark, senderId FROM m) GROUP BY timeMark"
+    )
+
+
 def _long_counts(window: int) -> str:
     none = "CAST(NULL AS VARCHAR)"
     sql = metric_sql(window, window)
@@ -319,6 +335,12 @@ def all_sql() -> dict[str, str]:
         "open_sessions_last_age1h": (
             f"{daily} {_open_sessions('DESC', 'maxTimestamp', 3_600_000)}"
         ),
+        "user_counts": _user_counts(W),
+        "user_counts_daily": _user_counts(DAY_MS),
+        "stream_final_user_counts": _user_counts(DAY_MS),
+        "user_rollup": _user_rollup(W),
+        "user_rollup_daily": _user_rollup(DAY_MS),
+        "user_sketches_daily": f"SELECT *, true AS near FROM ({_user_counts(DAY_MS)})",
         "user_windows": _user_windows(DAY_MS),
         "message_counts": _long_counts(DAY_MS),
         "session_slices": (
@@ -326,6 +348,7 @@ def all_sql() -> dict[str, str]:
             f"min(timestamp) AS first_ts, max(timestamp) AS last_ts FROM m GROUP BY {U}, slice"
         ),
         "stored_state_metrics": _documents(DAY_MS, HALF_HOUR_MS),
+        "compacted_state_metrics": _documents(DAY_MS, HALF_HOUR_MS),
         "ingest_filter": f"WITH {_fields()} {_PARSED}",
         "ingest_any_key_case": f"WITH {_fields()} {_PARSED}",
         "ingest_quarantine": (

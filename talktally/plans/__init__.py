@@ -8,6 +8,7 @@ from talktally.plans.archive import (
     write_archive,
     write_raw_archive,
 )
+from talktally.plans.compaction import CompactedStore
 from talktally.plans.groups import (
     GROUPS,
     detailed,
@@ -15,6 +16,7 @@ from talktally.plans.groups import (
     metric_groups,
     performance,
 )
+from talktally.plans.reach import read_user_sketches, write_user_sketches
 from talktally.plans.report import dry_run_counts, metric_documents, tag_of
 from talktally.plans.state import (
     MetricState,
@@ -27,6 +29,7 @@ from talktally.plans.state import (
 
 __all__ = [
     "GROUPS",
+    "CompactedStore",
     "MetricState",
     "all_events",
     "all_events_documents",
@@ -42,8 +45,10 @@ __all__ = [
     "performance",
     "raw_archive",
     "read_state",
+    "read_user_sketches",
     "tag_of",
     "write_archive",
     "write_raw_archive",
     "write_state",
+    "write_user_sketches",
 ]

@@ -38,7 +38,7 @@ _GROUP_STATES = {
 
 # 0001-01-01 and 9999-12-31 as days since 1970.
 FIRST_DAY, LAST_DAY = -719_162, 2_932_896
-_FOLDER_FIELDS = [StructField("batch_id", LongType()), StructField("event_date", DateType())]
+FOLDER_FIELDS = [StructField("batch_id", LongType()), StructField("event_date", DateType())]
 
 
 @dataclass(frozen=True)
@@ -95,7 +95,7 @@ def merge_state(state: MetricState) -> MetricState:
     )
 
 
-def _table_path(path: str, name: str, window_ms: int, gap_ms: int) -> str:
+def table_path(path: str, name: str, window_ms: int, gap_ms: int) -> str:
     # Partials of different windows or gaps must never be merged with each other.
     settings = f"window_ms={window_ms}"
     if name == "slices":
@@ -121,7 +121,7 @@ def write_state(
             .option("partitionOverwriteMode", "static")
             .partitionBy("event_date")
             .parquet(
-                f"{_table_path(path, name, state.window_ms, state.gap_ms)}/batch_id={batch_id}"
+                f"{table_path(path, name, state.window_ms, state.gap_ms)}/batch_id={batch_id}"
             )
         )
 
@@ -151,8 +151,8 @@ def read_state(
         reader = spark.read
         if like is not None:
             known = like.tables()[name].schema.fields
-            reader = reader.schema(StructType([*known, *_FOLDER_FIELDS]))
-        df = reader.parquet(_table_path(path, name, window_ms, gap))
+            reader = reader.schema(StructType([*known, *FOLDER_FIELDS]))
+        df = reader.parquet(table_path(path, name, window_ms, gap))
         if from_date is not None:
             df = df.filter(F.col("event_date") >= F.lit(from_date).cast("date"))
         if to_date is not None:

@@ -115,16 +115,23 @@ def to_messages(raw: DataFrame, **options) -> DataFrame:
 
 
 def _with_objects_any_case(lines: DataFrame) -> DataFrame:
-    def field(obj: Column, name: str) -> Column:
+    def lowered(obj: Column) -> Column:
+        """The object's keys in lower case, each folded once, with their values."""
+        return F.transform(
+            F.map_entries(obj),
+            lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
+        )
+
+    def field(entries: Column, name: str) -> Column:
         # Of a repeated key the last value holds, as in the parse by exact keys.
-        hits = F.filter(F.map_entries(obj), lambda e: F.lower(e["key"]) == name.lower())
+        hits = F.filter(entries, lambda e: e["key"] == name.lower())
         return F.try_element_at(hits, F.lit(-1))["value"]
 
     def parsed(name: str) -> Callable[[Column], Column]:
         """Beside each object its inner one, parsed once for all its fields."""
         return lambda pair: F.struct(
             pair["obj"].alias("obj"),
-            F.from_json(field(pair["inner"], name), "map<string,string>").alias("inner"),
+            lowered(F.from_json(field(pair["inner"], name), "map<string,string>")).alias("inner"),
         )
 
     def event(pair: Column) -> Column:
@@ -149,8 +156,9 @@ def _with_objects_any_case(lines: DataFrame) -> DataFrame:
             "maps",
             F.when(F.col("single").isNotNull(), F.array("single")).otherwise(F.col("listed")),
         )
+        .withColumn("entries", F.transform("maps", lowered))
         .withColumn(
-            "pairs", F.transform("maps", lambda m: F.struct(m.alias("obj"), m.alias("inner")))
+            "pairs", F.transform("entries", lambda e: F.struct(e.alias("obj"), e.alias("inner")))
         )
         .withColumn("pairs", F.transform("pairs", parsed("payload")))
         .withColumn("pairs", F.transform("pairs", parsed("status")))

@@ -15,8 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from talktally.operators.reach import user_sketches
 from talktally.plans.archive import event_sourcing, write_archive, write_raw_archive
+from talktally.plans.compaction import CompactedStore
 from talktally.plans.groups import GROUPS
+from talktally.plans.reach import write_user_sketches
 from talktally.plans.report import metric_documents, typed_documents
 from talktally.plans.state import build_state, metrics_of, read_state, write_state
 from talktally.schema import DEFAULT_WINDOW_MS
@@ -34,7 +37,9 @@ class BatchJob:
     """What to do with each micro-batch of raw lines (value, seq).
 
     `store` is a folder that all executors see. Under it go `state`, `lag` and, where
-    asked for, `quarantine`, `archive` and `raw`. `document_sinks` receive the
+    asked for, `quarantine`, `archive`, `raw` and `reach` (user sketches). With
+    `compact_every`, that many batches are merged at a time into `compacted`, which a
+    `CompactedStore` reads. `document_sinks` receive the
     batch's own metric documents (collection, value), which are not upserted: use
     the state for totals. `table_sinks` receive the same rows as typed tables, one call
     for each collection. Both carry the batch's id and time; a retried batch has its
@@ -50,6 +55,8 @@ class BatchJob:
     keep_quarantine: bool = True
     keep_archive: bool = False
     keep_raw: bool = False
+    keep_reach: bool = False
+    compact_every: int | None = None
     parse_options: dict = field(default_factory=dict)
     document_sinks: tuple[Sink, ...] = ()
     table_sinks: tuple[TableSink, ...] = ()
@@ -80,6 +87,9 @@ class BatchJob:
             write_batch_parquet(lag, f"{self.store}/lag", batch_id)
             if self.keep_archive:
                 write_archive(messages, f"{self.store}/archive", batch_id)
+            if self.keep_reach:
+                sketches = user_sketches(messages, self.window_ms)
+                write_user_sketches(sketches, f"{self.store}/reach", self.window_ms, batch_id)
             if self.archive_sinks:
                 for documents in event_sourcing(raw, messages).values():
                     self._send(documents, self.archive_sinks, batch_id)
@@ -95,6 +105,10 @@ class BatchJob:
         )
         path = f"{self.store}/state"
         write_state(state, path, batch_id, gather_dates=False)
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            # This batch may be tried again, so it is left to the next compaction.
+            store = CompactedStore(path, f"{self.store}/compacted", state)
+            store.compact(messages.sparkSession, batch_id - 1)
         if self.document_sinks or self.table_sinks:
             # From what was just stored, so that nothing is aggregated again.
             stored = read_state(
