@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talktally.llm import quality, toxicity
-from talktally.llm.frames import read_table, ship_modules, stored
+from talktally.llm.frames import SMALL_BATCH, read_table, ship_modules, stored
 from talktally.llm.jaccard_join import near_duplicates
 from talktally.llm.queries import packed_documents
 
@@ -26,7 +26,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of acceptable quality."""
-    ship_modules(spark)
+    ship_modules(spark, SMALL_BATCH)
     tables = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     model = quality.fit_quality(*tables)
     return quality.accepted(docs, model)
@@ -34,7 +34,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
-    ship_modules(spark)
+    ship_modules(spark, SMALL_BATCH)
     tables = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     model = toxicity.fit_toxicity(*tables)
     return toxicity.accepted(docs, model)
@@ -42,7 +42,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates, that of the smallest id."""
-    ship_modules(spark)
+    ship_modules(spark, SMALL_BATCH)
     # Rows go by numbers of their own; an id may be missing, or that of several texts.
     row = "row_number_" + "_" * max(map(len, docs.columns))
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
@@ -55,7 +55,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes, in as few sequences as found."""
-    ship_modules(spark)
+    ship_modules(spark, SMALL_BATCH)
     return packed_documents(docs)
 
 

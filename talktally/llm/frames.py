@@ -18,6 +18,7 @@ from talktally.session import scratch_folder
 
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH, SMALL_BATCH = "8m", "2m"
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -40,15 +41,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship_modules(spark: SparkSession) -> None:
+def ship_modules(spark: SparkSession, batch: str = BATCH) -> None:
     """Give the executors this package, once for each Spark application.
 
     Batches to and from Python are kept small where the session has not set their size:
     operators work on a few megabytes at a time, and larger batches only take memory.
     """
     context = spark.sparkContext
-    if spark.conf.get(BATCH_BYTES) == "67108864b":
-        spark.conf.set(BATCH_BYTES, "8m")
+    if spark.conf.get(BATCH_BYTES) in ("67108864b", BATCH):
+        spark.conf.set(BATCH_BYTES, batch)
     if getattr(context, "_talktally_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talktally.llm.components import components
-from talktally.llm.frames import id_and_text, stored
+from talktally.llm.frames import id_and_text, stored, trimmed
 from talktally.llm.shingles import WORDS, Sets, overlap, shingle_sets
 
 PERCENT = 75
@@ -61,7 +61,7 @@ def set_names(documents: DataFrame, words: int = WORDS) -> DataFrame:
                 columns = [ids, pa.array(np.diff(sets.ends)), pa.array(sets.names.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "name"])
 
-    return documents.mapInArrow(run, "doc_id long, n_shingles long, name long")
+    return documents.mapInArrow(trimmed(run), "doc_id long, n_shingles long, name long")
 
 
 def frequent_shingles(documents: DataFrame, words: int = WORDS) -> np.ndarray:
@@ -74,7 +74,7 @@ def frequent_shingles(documents: DataFrame, words: int = WORDS) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([atoms], names=["atom"])
 
     sample = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_OF)) == 0)
-    counted = sample.mapInArrow(run, "atom long").groupBy("atom").count().where("count >= 4")
+    counted = sample.mapInArrow(trimmed(run), "atom long").groupBy("atom").count().where("count >= 4")
     most = counted.orderBy(F.desc("count"), "atom").limit(MOST_FREQUENT).select("atom")
     found = np.array([r[0] for r in most.collect()], np.int64).view(np.uint64)
     return np.sort(found)
@@ -116,7 +116,7 @@ def cells(documents: DataFrame, frequent: np.ndarray, percent: int, words: int)
                     [pa.array(atoms), pa.array(names)], names=["cell", "name"]
                 )
 
-    return documents.mapInArrow(run, "cell long, name long")
+    return documents.mapInArrow(trimmed(run), "cell long, name long")
 
 
 def _least_shared(size: Column, percent: int) -> Column:
@@ -167,7 +167,7 @@ def _texts_without_id(documents: DataFrame, words: int) -> DataFrame:
                 )
 
     texts = documents.where("doc_id is null").select("text").distinct()
-    named = texts.mapInArrow(run, "name long, text string")
+    named = texts.mapInArrow(trimmed(run), "name long, text string")
     return named.groupBy("name").agg(F.min("text").alias("text"))
 
 
@@ -191,7 +191,7 @@ def class_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame
     # A class of which no document has an id is found by its name.
     unnamed = _texts_without_id(documents, words).join(chosen.where("doc_id is null"), "name")
     texts = texts.select("text", "name").union(unnamed.select("text", "name"))
-    return texts.mapInArrow(run, "name long, atoms binary")
+    return texts.mapInArrow(trimmed(run), "name long, atoms binary")
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -211,7 +211,7 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     both = pairs.join(sets.toDF("a", "atoms_a"), "a").join(sets.toDF("b", "atoms_b"), "b")
     both = both.select("a", "b", "atoms_a", "atoms_b")
-    return both.mapInArrow(run, "a long, b long, shared long, united long")
+    return both.mapInArrow(trimmed(run), "a long, b long, shared long, united long")
 
 
 def _pair(x: str, y: str, percent: int) -> list[Column]:

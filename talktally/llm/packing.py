@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talktally.llm import bpe
-from talktally.llm.frames import id_and_text, stored, utf8
+from talktally.llm.frames import id_and_text, stored, trimmed, utf8
 from talktally.llm.grouping_ga import Bins, Effort, evolve
 
 CAPACITY = 1024
@@ -87,7 +87,7 @@ def pieces(
                     names=["doc_id", "piece", "start", "length", "ids"],
                 )
 
-    return id_and_text(documents).mapInArrow(run, PIECES)
+    return id_and_text(documents).mapInArrow(trimmed(run), PIECES)
 
 
 def _to_bins(chromosome: list[int]) -> Bins:
@@ -120,7 +120,7 @@ def _evolved(state: DataFrame, capacity: int, effort: Effort, round_no: int) ->
                 row["population"] = [_to_chromosome(b, len(row["items"])) for b in bins]
                 yield pa.RecordBatch.from_pylist([row], schema=batch.schema)
 
-    return state.repartition("pool", "island").mapInArrow(run, STATE)
+    return state.repartition("pool", "island").mapInArrow(trimmed(run), STATE)
 
 
 def _migrated(state: DataFrame, islands: int) -> DataFrame:
@@ -164,7 +164,7 @@ def _places(state: DataFrame, capacity: int) -> DataFrame:
                 columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return best.select("best.*").mapInArrow(run, PLACES)
+    return best.select("best.*").mapInArrow(trimmed(run), PLACES)
 
 
 def placed(items: DataFrame, capacity: int = CAPACITY, plan: PackingPlan | None = None) -> DataFrame:

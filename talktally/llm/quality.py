@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talktally.llm.frames import id_and_text, row_blocks, utf8
+from talktally.llm.frames import id_and_text, row_blocks, trimmed, utf8
 from talktally.llm.labelled import (
     fitted_logistic,
     fold_number,
@@ -193,8 +193,8 @@ def fit_quality(
         model = fitted([rows[i] for i in order], np.array([known[i] for i in order], np.int64))
         yield pa.RecordBatch.from_pydict({"model": [model.to_bytes()]})
 
-    encoded = sample.mapInArrow(features, "label int, places array<int>").repartition(1)
-    (row,) = encoded.mapInArrow(fit, "model binary").collect()
+    encoded = sample.mapInArrow(trimmed(features), "label int, places array<int>").repartition(1)
+    (row,) = encoded.mapInArrow(trimmed(fit), "model binary").collect()
     return QualityModel.from_bytes(bytes(row["model"]))
 
 
@@ -217,7 +217,7 @@ def quality_scores(
                 names=["doc_id", "score", "predicted"],
             )
 
-    return id_and_text(documents).mapInArrow(run, "doc_id long, score double, predicted int")
+    return id_and_text(documents).mapInArrow(trimmed(run), "doc_id long, score double, predicted int")
 
 
 def accepted(
@@ -232,7 +232,7 @@ def accepted(
         for batch in batches:
             yield batch.filter(pa.array(known.scores(batch.column(at)) >= threshold))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(trimmed(run), documents.schema)
 
 
 def classified(documents: DataFrame, labels: DataFrame) -> DataFrame:

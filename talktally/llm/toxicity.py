@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talktally.llm.frames import id_and_text
+from talktally.llm.frames import id_and_text, trimmed
 from talktally.llm.labelled import (
     fitted_logistic,
     fold_number,
@@ -205,7 +205,7 @@ def fit_toxicity(
         )
 
     counted = (
-        sample.mapInArrow(count, "entry string, toxic long, other long")
+        sample.mapInArrow(trimmed(count), "entry string, toxic long, other long")
         .groupBy("entry")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         .where((F.col("entry") == "") | (F.col("toxic") >= LEAST_TEXTS))
@@ -223,7 +223,7 @@ def fit_toxicity(
                 [pa.array(found, pa.float64()), batch.column(1)], names=["strength", "label"]
             )
 
-    seen = sample.mapInArrow(measure, "strength double, label int").toPandas()
+    seen = sample.mapInArrow(trimmed(measure), "strength double, label int").toPandas()
     if len(set(seen["label"])) == 2:
         seen = seen.sort_values(["strength", "label"])
         model.slope, model.shift = fitted_logistic(
@@ -251,7 +251,7 @@ def accepted(
         for batch in batches:
             yield batch.filter(pa.array(scores_of(model, automaton, batch.column(at))[0] < threshold))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(trimmed(run), documents.schema)
 
 
 def toxicity_scores(
@@ -274,7 +274,7 @@ def toxicity_scores(
             )
 
     schema = "doc_id long, n_matches long, score double, predicted int"
-    return id_and_text(documents).mapInArrow(run, schema)
+    return id_and_text(documents).mapInArrow(trimmed(run), schema)
 
 
 def classified(documents: DataFrame, labels: DataFrame) -> DataFrame:
